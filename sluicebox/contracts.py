@@ -27,6 +27,25 @@ WINDOW = "5 minutes"
 SLIDE = "1 minute"
 
 
+_TYPES = {
+    "STRING": T.StringType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
+def struct(text: str) -> T.StructType:
+    """``"id BIGINT NOT NULL, name STRING"`` as a schema; unlike ``fromDDL`` it needs no session."""
+    fields = []
+    for item in text.split(","):
+        name, kind, *rest = item.split()
+        fields.append(T.StructField(name, _TYPES[kind], nullable=not rest))
+    return T.StructType(fields)
+
+
 @dataclass(frozen=True)
 class RawSource:
     """One headered CSV source, read as text only."""
@@ -65,11 +84,11 @@ def raw_source(table: str) -> RawSource:
     return RAW_SOURCES[table]
 
 
-EVENT_SCHEMA = T.StructType.fromDDL(
+EVENT_SCHEMA = struct(
     "event_id STRING, customer_id INT, session_id STRING, event_type STRING, product_id INT, "
     "category_id INT, quantity INT, price DOUBLE, city STRING, device_type STRING, event_timestamp STRING"
 )
-MESSAGE_SCHEMA = T.StructType.fromDDL(
+MESSAGE_SCHEMA = struct(
     "topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, key STRING, value STRING"
 )
 
@@ -93,7 +112,7 @@ class ServingTable:
 
 
 def _serving(name: str, ddl: str, key: str, **max_length: int) -> ServingTable:
-    return ServingTable(name, T.StructType.fromDDL(ddl), (key,), max_length)
+    return ServingTable(name, struct(ddl), (key,), max_length)
 
 
 SERVING_TABLES = {

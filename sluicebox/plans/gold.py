@@ -109,6 +109,11 @@ def product_performance(days: DataFrame, products: DataFrame, categories: DataFr
     )
 
 
+def product_categories(products: DataFrame, categories: DataFrame) -> DataFrame:
+    names = categories.select("category_id", "category_name")
+    return products.select("product_id", "category_id").join(names, "category_id", "left")
+
+
 def category_performance(
     orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame
 ) -> DataFrame:
@@ -117,9 +122,7 @@ def category_performance(
     Rows first collapse to (order, category) on the partitioning the order join already needs; a category
     holding a third of all rows is therefore spread over its orders until only counts are left.
     """
-    mapping = products.select("product_id", "category_id").join(
-        categories.select("category_id", "category_name"), "category_id", "left"
-    )
+    mapping = product_categories(products, categories)
     kept = revenue_orders(orders).select("order_id")
     per_order = (
         items.select("order_id", "product_id", "quantity", exact("item_total").alias("net"))
