@@ -19,15 +19,20 @@ from sluicebox.streaming.metrics import customer_windows, realtime_metrics
 REVENUE = "order_status IN ('delivered', 'shipped', 'processing')"
 view("revenue_m", f"SELECT * FROM orders_m WHERE {REVENUE}")
 view("per_order_m", "SELECT order_id, CAST(SUM(quantity) AS BIGINT) AS items_sold FROM order_items_m GROUP BY order_id")
-view(
-    "g_daily",
-    "SELECT order_date AS sales_date, COUNT(DISTINCT order_id) AS total_orders, "
-    f"CAST(ROUND({money('order_total')}, 2) AS DOUBLE) AS total_revenue, "
-    "CAST(COALESCE(SUM(items_sold), 0) AS BIGINT) AS total_items_sold, "
-    f"{money_ratio(money('order_total'), 'COUNT(order_total)')} AS average_order_value, "
-    "COUNT(DISTINCT customer_id) AS unique_customers "
-    "FROM revenue_m LEFT JOIN per_order_m USING (order_id) GROUP BY order_date",
-)
+
+
+def daily_sql(orders: str, per_order: str) -> str:
+    return (
+        "SELECT order_date AS sales_date, COUNT(DISTINCT order_id) AS total_orders, "
+        f"CAST(ROUND({money('order_total')}, 2) AS DOUBLE) AS total_revenue, "
+        "CAST(COALESCE(SUM(items_sold), 0) AS BIGINT) AS total_items_sold, "
+        f"{money_ratio(money('order_total'), 'COUNT(order_total)')} AS average_order_value, "
+        "COUNT(DISTINCT customer_id) AS unique_customers "
+        f"FROM {orders} LEFT JOIN {per_order} USING (order_id) GROUP BY order_date"
+    )
+
+
+view("g_daily", daily_sql("revenue_m", "per_order_m"))
 view("sold_m", "SELECT i.*, o.order_date FROM order_items_m i JOIN revenue_m o USING (order_id)")
 view(
     "g_product",

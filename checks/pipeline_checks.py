@@ -1,0 +1,104 @@
+"""Whole layers run through stored tables: CSV to Bronze, Bronze to Silver, Silver to Gold."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from checks.fixtures import AS_OF, RAW, Inputs
+from checks.gold_checks import REVENUE, daily_sql
+from checks.registry import check, view
+from checks.silver_checks import TYPES
+from sluicebox.contracts import raw_source
+from sluicebox.plans import bronze, gold, silver
+from sluicebox.sources.storage import fresh_folder, read_table
+
+view("valid_revenue", f"SELECT * FROM valid_orders WHERE {REVENUE}")
+view("valid_per_order", "SELECT order_id, CAST(SUM(quantity) AS BIGINT) AS items_sold FROM valid_order_items GROUP BY order_id")
+view("g_daily_valid", daily_sql("valid_revenue", "valid_per_order"))
+
+
+def load_csv(t: Inputs) -> tuple[str, list]:
+    """All seven raw tables written as CSV files and loaded into Bronze."""
+    root = fresh_folder(t.spark, "bronze")
+    for name in RAW:
+        source = raw_source(name.removeprefix("raw_"))
+        t[name].select(*source.columns).write.csv(
+            f"{root}/raw/{source.file_name}", header=True,
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+    return root, bronze.load_sources(t.spark, f"{root}/raw", f"{root}/bronze", f"{root}/quarantine", batch_id="run-1")
+
+
+def refined(t: Inputs) -> tuple[str, list]:
+    """All seven raw tables stored as Bronze and refined into Silver."""
+    root = fresh_folder(t.spark, "silver")
+    for name in RAW:
+        t[name].write.parquet(f"{root}/bronze/{name.removeprefix('raw_')}")
+    return root, silver.refine(t.spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine")
+
+
+def _raw_hash(table: str) -> str:
+    columns = ", ".join(f"coalesce({c}, '')" for c in raw_source(table).columns)
+    return f"sha256(concat_ws('||', {columns}))"
+
+
+@check(
+    "pipe_bronze",
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {_raw_hash(table)} AS record_hash, 'run-1' AS batch_id FROM raw_{table}"
+        for table in TYPES
+    ),
+)
+def pipe_bronze(t: Inputs) -> DataFrame:
+    root, _ = load_csv(t)
+    parts = [
+        read_table(t.spark, f"{root}/bronze/{table}").select(
+            F.lit(table).alias("table_name"), "record_hash", "batch_id"
+        )
+        for table in TYPES
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@check(
+    "run_counts",
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, COUNT(*) AS rows_read, COUNT(*) AS rows_written, "
+        f"CAST(0 AS BIGINT) AS rows_rejected FROM raw_{table}"
+        for table in TYPES
+    ),
+)
+def run_counts(t: Inputs) -> DataFrame:
+    return bronze.run_report(t.spark, load_csv(t)[1])
+
+
+@check(
+    "pipe_silver",
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, (SELECT COUNT(*) FROM raw_{table}) AS rows_read, "
+        f"(SELECT COUNT(*) FROM valid_{table}) AS rows_written, "
+        f"(SELECT COUNT(*) FROM flagged_{table} WHERE len(flags) > 0) AS rows_rejected"
+        for table in TYPES
+    ),
+)
+def pipe_silver(t: Inputs) -> DataFrame:
+    return bronze.run_report(t.spark, refined(t)[1])
+
+
+@check("sink_silver_overwrite", "SELECT order_item_id, order_id, product_id, quantity, record_hash FROM valid_order_items")
+def sink_silver_overwrite(t: Inputs) -> DataFrame:
+    root, _ = refined(t)
+    return read_table(t.spark, f"{root}/silver/order_items").select(
+        "order_item_id", "order_id", "product_id", "quantity", "record_hash"
+    )
+
+
+@check("pipe_gold", "SELECT * FROM g_daily_valid")
+def pipe_gold(t: Inputs) -> DataFrame:
+    root, _ = refined(t)
+    gold.build_all(t.spark, f"{root}/silver", f"{root}/gold", as_of=AS_OF)
+    return read_table(t.spark, f"{root}/gold/daily_sales_summary")
