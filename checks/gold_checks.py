@@ -246,7 +246,7 @@ check(
        f"CAST({money('item_total')} AS DOUBLE) AS net, COUNT(*) AS item_rows FROM sold_m GROUP BY ALL")
 def agg_product_days(t: Inputs) -> DataFrame:
     days = gold.product_days(t["orders_m"], t["order_items_m"])
-    return days.select("product_id", "sales_date", "units", F.col("net").cast("double").alias("net"), "item_rows")
+    return days.select("product_id", "sales_date", "units", numbers.from_parts("net").cast("double").alias("net"), "item_rows")
 
 
 # ---- scalar functions -------------------------------------------------------------------------------------
@@ -280,7 +280,7 @@ check("fn_inventory_status", f"SELECT product_id, {STATUS} AS inventory_status F
 check(
     "fn_round",
     "SELECT order_id, CAST(ROUND(CAST(order_total AS DECIMAL(18,4)), 1) AS DOUBLE) AS rounded FROM orders_m",
-)(lambda t: t["orders_m"].select("order_id", numbers.rounded(numbers.exact("order_total"), 1).alias("rounded")))
+)(lambda t: t["orders_m"].select("order_id", numbers.rounded(F.col("order_total").cast("decimal(18,4)"), 1).alias("rounded")))
 check("fn_abs", "SELECT payment_id, abs(payment_amount - 100000) AS gap FROM payments_m")(
     lambda t: t["payments_m"].select("payment_id", F.abs(F.col("payment_amount") - 100000).alias("gap"))
 )

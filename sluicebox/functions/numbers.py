@@ -1,7 +1,9 @@
-"""Safe casts, exact money arithmetic and guarded ratios.
+"""Safe casts, exact money sums and guarded ratios.
 
-Money is summed as a fixed-point decimal, so a total does not depend on how rows were split over
-tasks, and exact halves round up. Results go back to double, the type of the serving tables.
+Money arrives as double. Each value is read as a whole number of ten-thousandths, and sums are kept as two
+bigints (blocks of 2**20 and the rest), so a total is exact, does not depend on how rows were split over tasks,
+cannot overflow at any realistic row count, and costs no more than a double sum. Only finished groups are turned
+into decimals, rounded half up, and given back as double, the type of the serving tables.
 """
 
 from __future__ import annotations
@@ -10,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = "decimal(18,4)"
+BLOCK_BITS = 20
+BLOCK = 1 << BLOCK_BITS
 
 
 def to_long(name: str) -> Column:
@@ -23,8 +26,41 @@ def to_double(name: str) -> Column:
     return F.col(name).try_cast("double")
 
 
-def exact(value: Column | str) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast(MONEY)
+def scaled(name: str) -> Column:
+    """A money column in whole ten-thousandths; NaN and infinity become NULL and so stay out of totals."""
+    return F.rint(F.col(name).cast("double") * 10_000).try_cast("bigint")
+
+
+def sum_parts(value: Column, name: str) -> list[Column]:
+    """The two bigint sums of a scaled value, as ``<name>_blocks`` and ``<name>_rest``."""
+    return [
+        F.sum(F.shiftright(value, BLOCK_BITS)).alias(f"{name}_blocks"),
+        F.sum(value.bitwiseAND(F.lit(BLOCK - 1))).alias(f"{name}_rest"),
+    ]
+
+
+def resum_parts(name: str) -> list[Column]:
+    """Add up stored parts."""
+    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("blocks", "rest")]
+
+
+def _joined(blocks: Column, rest: Column) -> Column:
+    whole = blocks.cast("decimal(20,0)") * F.lit(BLOCK).cast("decimal(7,0)") + rest.cast("decimal(20,0)")
+    return whole * F.lit("0.0001").cast("decimal(4,4)")
+
+
+def from_parts(name: str) -> Column:
+    """The exact total of two stored part columns."""
+    return _joined(F.col(f"{name}_blocks"), F.col(f"{name}_rest"))
+
+
+def sum_of_parts(name: str) -> Column:
+    return _joined(*resum_parts(name))
+
+
+def exact_sum(value: Column) -> Column:
+    """Exact decimal total of a scaled value."""
+    return _joined(*sum_parts(value, ""))
 
 
 def rounded(value: Column, digits: int = 2) -> Column:

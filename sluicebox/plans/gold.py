@@ -16,7 +16,15 @@ from pyspark.sql import functions as F
 from sluicebox.contracts import BATCH_GOLD
 from sluicebox.functions.business import counts_as_revenue, inventory_status, status_urgency
 from sluicebox.functions.dates import today_or
-from sluicebox.functions.numbers import exact, rounded, safe_ratio
+from sluicebox.functions.numbers import (
+    exact_sum,
+    resum_parts,
+    rounded,
+    safe_ratio,
+    scaled,
+    sum_of_parts,
+    sum_parts,
+)
 from sluicebox.sources.storage import DEFAULT_FORMAT, read_tables, staging, write_counted
 
 SILVER_INPUTS = ("categories", "customers", "products", "orders", "order_items", "inventory")
@@ -41,7 +49,7 @@ def orders_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def daily_sales_summary(orders: DataFrame, items: DataFrame, unique_orders: bool = False) -> DataFrame:
-    revenue = F.sum(exact("order_total"))
+    revenue = exact_sum(scaled("order_total"))
     return (
         orders_with_items(orders, items)
         .groupBy(F.col("order_date").alias("sales_date"))
@@ -49,7 +57,7 @@ def daily_sales_summary(orders: DataFrame, items: DataFrame, unique_orders: bool
             _order_count(unique_orders).alias("total_orders"),
             rounded(revenue).alias("total_revenue"),
             F.coalesce(F.sum("items_sold"), F.lit(0)).cast("bigint").alias("total_items_sold"),
-            safe_ratio(revenue, F.count("order_total"), 2).alias("average_order_value"),
+            safe_ratio(revenue, F.count(scaled("order_total")), 2).alias("average_order_value"),
             F.countDistinct("customer_id").alias("unique_customers"),
         )
     )
@@ -60,25 +68,29 @@ def items_of_revenue_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
     return items.join(kept, "order_id")
 
 
-def product_days(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Revenue items summed per product and day: the one big join shared by three outputs.
-
-    It has at most products x days rows, and hot products are summed on the map side.
-    """
-    gross = F.col("quantity") * exact("unit_price")
+def sold_sums(orders: DataFrame, items: DataFrame, *grain: str) -> DataFrame:
+    """Items of revenue orders summed at a grain; money stays in parts, so sums can be summed again."""
     return (
         items_of_revenue_orders(orders, items)
-        .groupBy("product_id", "sales_date")
+        .groupBy(*grain)
         .agg(
             F.sum("quantity").alias("units"),
-            F.sum(gross).cast("decimal(38,4)").alias("gross"),
-            F.sum(exact("discount")).alias("discount"),
-            F.sum(exact("item_total")).alias("net"),
+            *sum_parts(F.col("quantity") * scaled("unit_price"), "gross"),
+            *sum_parts(scaled("discount"), "discount"),
+            *sum_parts(scaled("item_total"), "net"),
             F.count(F.lit(1)).alias("item_rows"),
         )
     )
 
 
+def product_days(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Sums per product and day: the one big join that three outputs can share.
+
+    It has at most products x days rows, and hot products are summed on the map side.
+    """
+    return sold_sums(orders, items, "product_id", "sales_date")
+
+
 def product_dimension(products: DataFrame, categories: DataFrame) -> DataFrame:
     names = categories.select("category_id", "category_name")
     return products.join(names, "category_id", "left").select(
@@ -86,14 +98,15 @@ def product_dimension(products: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
-def product_performance(days: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+def product_performance(sums: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
     """Per product: units, gross, discount, net and the rating averaged over item rows.
 
-    ``days`` is ``product_days``. Items collapse to one row per product before the dimension is joined;
+    ``sums`` are ``sold_sums`` per product, or finer. Items collapse to one row per product before the dimension is joined;
     weighting by item rows keeps averages right even if a product appears twice in the dimension.
     """
-    totals = days.groupBy("product_id").agg(
-        *[F.sum(name).alias(name) for name in ("units", "gross", "discount", "net", "item_rows")]
+    totals = sums.groupBy("product_id").agg(
+        *[F.sum(name).alias(name) for name in ("units", "item_rows")],
+        *[part for name in ("gross", "discount", "net") for part in resum_parts(name)],
     )
     rated = F.when(F.col("rating").isNotNull(), F.col("item_rows"))
     return (
@@ -101,10 +114,10 @@ def product_performance(days: DataFrame, products: DataFrame, categories: DataFr
         .groupBy("product_id", "product_name", "category_name")
         .agg(
             F.sum("units").cast("bigint").alias("units_sold"),
-            rounded(F.sum("gross")).alias("gross_revenue"),
-            rounded(F.sum("discount")).alias("discount_amount"),
-            rounded(F.sum("net")).alias("net_revenue"),
-            safe_ratio(F.sum(exact("rating") * rated), F.sum(rated), 2).alias("average_rating"),
+            rounded(sum_of_parts("gross")).alias("gross_revenue"),
+            rounded(sum_of_parts("discount")).alias("discount_amount"),
+            rounded(sum_of_parts("net")).alias("net_revenue"),
+            safe_ratio(exact_sum(scaled("rating") * rated), F.sum(rated), 2).alias("average_rating"),
         )
     )
 
@@ -120,44 +133,42 @@ def category_performance(
     """Per category: orders, units, revenue, revenue per order.
 
     Rows first collapse to (order, category) on the partitioning the order join already needs; a category
-    holding a third of all rows is therefore spread over its orders until only counts are left.
+    holding a third of all rows is therefore spread over its orders until only counts are left. Names are
+    joined to the finished categories; a category listed twice under one name counts twice, as if joined first.
     """
-    mapping = product_categories(products, categories)
     kept = revenue_orders(orders).select("order_id")
     per_order = (
-        items.select("order_id", "product_id", "quantity", exact("item_total").alias("net"))
-        .join(mapping, "product_id", "left")
+        items.select("order_id", "product_id", "quantity", "item_total")
+        .join(products.select("product_id", "category_id"), "product_id", "left")
         .join(kept, "order_id")
-        .groupBy("order_id", "category_id", "category_name")
-        .agg(F.sum("quantity").alias("units"), F.sum("net").alias("net"))
+        .groupBy("order_id", "category_id")
+        .agg(F.sum("quantity").alias("units"), *sum_parts(scaled("item_total"), "net"))
     )
-    return (
-        per_order.groupBy("category_id", "category_name")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.sum("units").cast("bigint").alias("units_sold"),
-            F.round(F.sum("net"), 2).alias("net"),
-        )
-        .select(
-            "category_id",
-            "category_name",
-            "total_orders",
-            "units_sold",
-            F.col("net").cast("double").alias("revenue"),
-            safe_ratio(F.col("net"), F.col("total_orders"), 2).alias("average_order_value"),
-        )
+    totals = per_order.groupBy("category_id").agg(
+        F.count("order_id").alias("total_orders"), F.sum("units").alias("units"), sum_of_parts("net").alias("net")
+    )
+    names = categories.groupBy("category_id", "category_name").agg(F.count(F.lit(1)).alias("listed"))
+    times = F.coalesce("listed", F.lit(1))
+    revenue = F.round(F.col("net") * times, 2)
+    return totals.join(names, "category_id", "left").select(
+        "category_id",
+        "category_name",
+        "total_orders",
+        (F.col("units") * times).cast("bigint").alias("units_sold"),
+        revenue.cast("double").alias("revenue"),
+        safe_ratio(revenue, F.col("total_orders"), 2).alias("average_order_value"),
     )
 
 
 def customer_orders(orders: DataFrame, unique_orders: bool = False) -> DataFrame:
-    spent = F.sum(exact("order_total"))
+    spent = exact_sum(scaled("order_total"))
     return (
         revenue_orders(orders)
         .groupBy("customer_id")
         .agg(
             _order_count(unique_orders).alias("total_orders"),
             rounded(spent).alias("lifetime_value"),
-            safe_ratio(spent, F.count("order_total"), 2).alias("average_order_value"),
+            safe_ratio(spent, F.count(scaled("order_total")), 2).alias("average_order_value"),
             F.max("order_date").alias("last_order_date"),
         )
     )
@@ -254,8 +265,8 @@ def build(
     if table == "customer_360":
         return customer_360(s["customers"], s["orders"], as_of, unique_orders)
     if table == "product_performance":
-        days = product_days(s["orders"], s["order_items"]) if days is None else days
-        return product_performance(days, s["products"], s["categories"])
+        sums = sold_sums(s["orders"], s["order_items"], "product_id") if days is None else days
+        return product_performance(sums, s["products"], s["categories"])
     if table == "inventory_health":
         days = product_days(recent_orders(s["orders"], as_of), s["order_items"]) if days is None else days
         return inventory_health(s["inventory"], s["products"], days, as_of)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluicebox.contracts import SLIDE, WINDOW, serving_table
 from sluicebox.functions.business import cart_abandonment_rate, payment_failure_rate
-from sluicebox.functions.numbers import exact
+from sluicebox.functions.numbers import from_parts, resum_parts, scaled, sum_parts
 
 # Output column -> event type it counts.
 COUNTED = {
@@ -29,9 +29,9 @@ def _count_of(event_type: str) -> Column:
 
 
 def event_measures() -> list[Column]:
-    sold = F.when(F.col("event_type") == "purchase_completed", exact("price") * F.col("quantity"))
+    sold = F.when(F.col("event_type") == "purchase_completed", scaled("price") * F.col("quantity"))
     counts = [_count_of(event_type).alias(name) for name, event_type in COUNTED.items()]
-    return [F.coalesce(F.sum(sold), F.lit(0)).cast("decimal(38,4)").alias("revenue_per_window"), *counts]
+    return [*sum_parts(sold, "revenue"), *counts]
 
 
 def customer_windows(events: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
@@ -40,14 +40,14 @@ def customer_windows(events: DataFrame, window: str = WINDOW, slide: str = SLIDE
 
 
 def _window_sums() -> list[Column]:
-    names = ["revenue_per_window", *COUNTED]
-    return [F.sum(name).alias(name) for name in names] + [F.count("customer_id").alias("active_users")]
+    counts = [F.sum(name).alias(name) for name in COUNTED]
+    return [*resum_parts("revenue"), *counts, F.count("customer_id").alias("active_users")]
 
 
 def _finish(sums: DataFrame) -> DataFrame:
     return sums.withColumns(
         {
-            "revenue_per_window": F.col("revenue_per_window").cast("double"),
+            "revenue_per_window": F.coalesce(from_parts("revenue").cast("double"), F.lit(0.0)),
             "payment_failure_rate": payment_failure_rate(),
             "cart_abandonment_rate": cart_abandonment_rate(),
         }
