@@ -27,18 +27,28 @@ def newest_order(df: DataFrame) -> list[str]:
 
 
 def with_parent(
-    child: DataFrame, parent: DataFrame, key: str, parent_key: str, missing: str, carry: dict[str, str] | None = None
+    child: DataFrame,
+    parent: DataFrame,
+    key: str,
+    parent_key: str,
+    missing: str,
+    carry: dict[str, str] | None = None,
+    unique_parent: bool = False,
 ) -> DataFrame:
-    """Left-join the parent's distinct keys: ``missing`` is true for a non-null key without a parent.
+    """Left-join the parent's keys: ``missing`` is true for a non-null key without a parent.
 
     ``carry`` maps parent columns to the names under which they come along. No hint is given: a small
-    parent is broadcast from its measured size, a big one is sort-merged with adaptive skew splitting.
+    parent is broadcast from its measured size, a big one is sort-merged. Say ``unique_parent`` where the
+    parent has one row per key (as every stored Silver table has): without a distinct step between shuffle
+    and join, Spark can split the partition of a hot child key over several tasks.
     """
     carry = carry or {}
     found = f"_{missing}_found"
     columns = [F.col(parent_key).alias(key), F.lit(True).alias(found)]
     columns += [F.col(source).alias(target) for source, target in carry.items()]
-    known = parent.select(*columns).dropDuplicates([key])
+    known = parent.select(*columns)
+    if not unique_parent:
+        known = known.dropDuplicates([key])
     return (
         child.join(known, key, "left")
         .withColumn(missing, F.col(key).isNotNull() & F.col(found).isNull())
@@ -52,13 +62,15 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str)
     return used.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
 
 
-def with_orphans(child: DataFrame, orphans: DataFrame, key: str, missing: str) -> DataFrame:
+def with_orphans(
+    child: DataFrame, orphans: DataFrame, key: str, missing: str, bound: int = BROADCAST_ROWS
+) -> DataFrame:
     """Same column as ``with_parent``, from a stored orphan set.
 
-    Orphans are usually few, so the wide child is not shuffled at all; a set above the bound is joined
-    the ordinary way.
+    Orphans are usually few, so the wide child is not shuffled at all, however its keys are spread. A set above
+    the bound is sort-merged, with hot keys split as in ``with_parent``.
     """
-    marked = within_bound(orphans.withColumn(missing, F.lit(True)))
+    marked = within_bound(orphans.withColumn(missing, F.lit(True)), bound)
     return child.join(marked, key, "left").withColumn(missing, F.coalesce(missing, F.lit(False)))
 
 

@@ -40,12 +40,13 @@ class Parent:
 
 @dataclass(frozen=True)
 class Cleaning:
-    """How one table is typed, checked and keyed."""
+    """How one table is typed, checked and keyed; ``file_order`` sorts its stored files for range filters."""
 
     key: tuple[str, ...]
     types: dict[str, Column]
     rules: list[Rule]
     parents: list[Parent] = field(default_factory=list)
+    file_order: tuple[str, ...] = ()
 
 
 class Cleaned(NamedTuple):
@@ -143,6 +144,7 @@ def _orders() -> Cleaning:
             customer.rule("missing_customer_fk"),
         ],
         parents=[customer],
+        file_order=("order_date",),
     )
 
 
@@ -235,9 +237,15 @@ AttachParent = Callable[[DataFrame, DataFrame, Parent], DataFrame]
 
 
 def join_parent(child: DataFrame, parent: DataFrame, link: Parent) -> DataFrame:
+    """For any parent, also one that lists a key twice."""
     return with_parent(child, parent, link.key, link.key, link.missing, link.carried())
 
 
+def join_cleaned_parent(child: DataFrame, parent: DataFrame, link: Parent) -> DataFrame:
+    """For cleaned parents, which have one row per key."""
+    return with_parent(child, parent, link.key, link.key, link.missing, link.carried(), unique_parent=True)
+
+
 def typed(table: str, bronze: DataFrame) -> DataFrame:
     """Casts and normal forms only; no row is dropped or marked."""
     return bronze.withColumns(CLEANINGS[table]().types)
@@ -264,9 +272,14 @@ def newest_valid(table: str, valid: DataFrame) -> DataFrame:
     return latest_per_key(valid, CLEANINGS[table]().key, newest_order(valid))
 
 
-def clean(table: str, bronze: DataFrame, parents: Mapping[str, DataFrame] | None = None) -> Cleaned:
-    """Lazy cleaning of one table: (newest valid row per key, every rejected row)."""
-    valid, rejected = split_by_flags(flagged(table, bronze, parents))
+def clean(
+    table: str, bronze: DataFrame, parents: Mapping[str, DataFrame] | None = None, attach: AttachParent = join_parent
+) -> Cleaned:
+    """Lazy cleaning of one table: (newest valid row per key, every rejected row).
+
+    Nothing is stored, so using both results runs the checks twice; ``refine_table`` runs them once.
+    """
+    valid, rejected = split_by_flags(flagged(table, bronze, parents, attach))
     return Cleaned(with_silver_time(newest_valid(table, valid)), with_silver_time(rejected))
 
 
@@ -275,7 +288,8 @@ def clean_all(bronze: Mapping[str, DataFrame]) -> dict[str, Cleaned]:
     done: dict[str, Cleaned] = {}
     for table in CLEANINGS:
         if table in bronze:
-            done[table] = clean(table, bronze[table], {name: part.valid for name, part in done.items()})
+            parents = {name: part.valid for name, part in done.items()}
+            done[table] = clean(table, bronze[table], parents, join_cleaned_parent)
     return done
 
 
@@ -313,7 +327,7 @@ def refine_table(
 
         def attach(child: DataFrame, parent: DataFrame, link: Parent) -> DataFrame:
             if link.carry:
-                return join_parent(child, parent, link)
+                return join_cleaned_parent(child, parent, link)
             orphans = stage.store(orphan_keys(child, parent, link.key, link.key), f"orphans-{link.table}")
             return with_orphans(child, orphans, link.key, link.missing)
 
@@ -322,6 +336,9 @@ def refine_table(
         read = write_counted(rows, path, "overwrite", partition_by=("_rejected",))["rows"]
         stored = spark.read.schema(rows.schema).parquet(path)
         valid = newest_valid(table, stored.filter("NOT _rejected").drop("_rejected"))
+        order = CLEANINGS[table]().file_order
+        if order:
+            valid = valid.sortWithinPartitions(*order)
         rejected = stored.filter("_rejected").drop("_rejected")
         written = write_counted(with_silver_time(valid), f"{silver_root}/{table}", "overwrite", fmt)["rows"]
         bad = write_counted(with_silver_time(rejected), f"{quarantine_root}/silver/{table}", "overwrite", fmt)["rows"]
