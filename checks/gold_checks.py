@@ -9,6 +9,7 @@ from checks.fixtures import AS_OF, Inputs
 from checks.registry import check, half_up, money, money_ratio, view
 from sluicebox.contracts import serving_table
 from sluicebox.functions import business, dates, numbers
+from sluicebox.operators.keys import with_parent
 from sluicebox.operators.quality import contract_violations
 from sluicebox.plans import forecast, gold, governed, kpi, serving
 from sluicebox.sources.storage import fresh_folder, read_table
@@ -212,10 +213,8 @@ check(
     "SELECT payment_id, payment_amount, order_total AS expected_total FROM payments_m LEFT JOIN orders_m USING (order_id)",
 )
 def join_payment_order_total(t: Inputs) -> DataFrame:
-    from sluicebox.operators.keys import with_parent
-
     rows = with_parent(
-        t["payments_m"], t["orders_m"], "order_id", "order_id", "_missing", {"order_total": "expected_total"}
+        t["payments_m"], t["orders_m"], "order_id", "order_id", "_missing", {"order_total": "expected_total"}, unique_parent=True
     )
     return rows.select("payment_id", "payment_amount", "expected_total")
 
@@ -611,14 +610,14 @@ check(
     "ml_scale",
     "SELECT sales_date, product_id, "
     + ", ".join(
-        f"round((CAST({name} AS DOUBLE) - AVG({name}) OVER ()) / STDDEV_SAMP({name}) OVER (), 4) AS f_{name}"
+        f"round((CAST({name} AS DOUBLE) - AVG({name}) OVER ()) / STDDEV_SAMP({name}) OVER (), 4) + 0.0 AS f_{name}"
         for name in forecast.FEATURES
     ) + " FROM features_m",
 )
 def ml_scale(t: Inputs) -> DataFrame:
     rows = forecast.feature_vector(features_of(t))
     scaled = _vector_columns(forecast.scaler().fit(rows).transform(rows), "features")
-    return scaled.select(*_SERIES_KEY, *[F.round(f"f_{f}", 4).alias(f"f_{f}") for f in forecast.FEATURES])
+    return scaled.select(*_SERIES_KEY, *[(F.round(f"f_{f}", 4) + 0.0).alias(f"f_{f}") for f in forecast.FEATURES])
 
 
 @check("ml_train_rf")

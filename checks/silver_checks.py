@@ -12,6 +12,7 @@ from sluicebox.functions import dates, hashing, numbers, text
 from sluicebox.operators.keys import fk_orphans, latest_per_key, newest_order, with_parent
 from sluicebox.operators.quality import Rule, flag_report, split_by_flags, with_flags
 from sluicebox.plans import bronze, silver
+from sluicebox.sources.storage import Staging, fresh_folder
 
 # ---- DuckDB side: the seven tables, written out as SQL ----------------------------------------------------
 
@@ -211,10 +212,16 @@ def _plain(df: DataFrame) -> DataFrame:
     return out.drop("ingestion_timestamp", "silver_processed_timestamp")
 
 
+def _keep(t: Inputs) -> silver.Keep:
+    """Store intermediate tables in the shared folder, as a long chain on a cluster should."""
+    return Staging(t.spark, fresh_folder(t.spark, "silver")).store
+
+
 def _parents(t: Inputs, table: str) -> dict[str, DataFrame]:
     """Cleaned parents of one raw table."""
     needed = [name for name in silver.with_dependencies([table]) if name != table]
-    return {name: part.valid for name, part in silver.clean_all({n: t[f"raw_{n}"] for n in needed}).items()}
+    cleaned = silver.clean_all({name: t[f"raw_{name}"] for name in needed}, _keep(t))
+    return {name: part.valid for name, part in cleaned.items()}
 
 
 # ---- one typed_, dq_ and clean_ check per table -----------------------------------------------------------
@@ -230,7 +237,7 @@ def _register(table: str) -> None:
         f"SELECT {KEYS[table]}, record_hash, array_to_string(flags, ',') AS flags FROM flagged_{table}",
     )
     def rules(t: Inputs) -> DataFrame:
-        rows = silver.flagged(table, t[f"raw_{table}"], _parents(t, table))
+        rows = silver.flagged(table, t[f"raw_{table}"], _parents(t, table), silver.join_cleaned_parent)
         return _plain(rows).select(*KEYS[table].split(", "), "record_hash", "flags")
 
     both = f"{_names(table)}, batch_id, record_hash, array_to_string(flags, ',') AS flags"
@@ -241,7 +248,8 @@ def _register(table: str) -> None:
         f"SELECT {both}, 'rejected' AS verdict FROM flagged_{table} WHERE len(flags) > 0",
     )
     def cleaned(t: Inputs) -> DataFrame:
-        valid, rejected = silver.clean(table, t[f"raw_{table}"], _parents(t, table))
+        parents = _parents(t, table)
+        valid, rejected = silver.clean(table, t[f"raw_{table}"], parents, silver.join_cleaned_parent, _keep(t))
         both = valid.withColumn("verdict", F.lit("valid")).unionByName(
             rejected.withColumn("verdict", F.lit("rejected"))
         )
@@ -340,7 +348,7 @@ def is_blank(t: Inputs) -> DataFrame:
 )
 def dq_payment_mismatch(t: Inputs) -> DataFrame:
     rows = with_parent(
-        t["payments_m"], t["orders_m"], "order_id", "order_id", "_missing", {"order_total": "order_total"}
+        t["payments_m"], t["orders_m"], "order_id", "order_id", "_missing", {"order_total": "order_total"}, unique_parent=True
     )
     rule = silver.amount_mismatch("payment_amount", "order_total")
     return rows.filter(rule.broken).select("payment_id", "payment_amount", "order_total")
@@ -355,7 +363,7 @@ def dq_payment_mismatch(t: Inputs) -> DataFrame:
     ),
 )
 def dq_report(t: Inputs) -> DataFrame:
-    cleaned = silver.clean_all(t.raw_tables())
+    cleaned = silver.clean_all(t.raw_tables(), _keep(t))
     return flag_report({table: part.rejected for table, part in cleaned.items()})
 
 
@@ -369,7 +377,9 @@ def dq_report(t: Inputs) -> DataFrame:
 )
 def fk_flag(t: Inputs) -> DataFrame:
     typed = silver.typed("orders", t["raw_orders"])
-    marked = with_parent(typed, t["customers_m"], "customer_id", "customer_id", "missing_customer_fk")
+    marked = with_parent(
+        typed, t["customers_m"], "customer_id", "customer_id", "missing_customer_fk", unique_parent=True
+    )
     return marked.select("record_hash", "customer_id", "missing_customer_fk")
 
 

@@ -1,0 +1 @@
+"""E-commerce analytics as Spark jobs; see README.md."""

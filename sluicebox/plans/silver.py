@@ -234,6 +234,7 @@ CLEANINGS: dict[str, Callable[[], Cleaning]] = {
 }
 
 AttachParent = Callable[[DataFrame, DataFrame, Parent], DataFrame]
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
 def join_parent(child: DataFrame, parent: DataFrame, link: Parent) -> DataFrame:
@@ -273,23 +274,34 @@ def newest_valid(table: str, valid: DataFrame) -> DataFrame:
 
 
 def clean(
-    table: str, bronze: DataFrame, parents: Mapping[str, DataFrame] | None = None, attach: AttachParent = join_parent
+    table: str,
+    bronze: DataFrame,
+    parents: Mapping[str, DataFrame] | None = None,
+    attach: AttachParent = join_parent,
+    keep: Keep | None = None,
 ) -> Cleaned:
-    """Lazy cleaning of one table: (newest valid row per key, every rejected row).
+    """Clean one table: (newest valid row per key, every rejected row).
 
-    Nothing is stored, so using both results runs the checks twice; ``refine_table`` runs them once.
+    Lazy unless ``keep`` is given. Both results need the checked rows: ``keep`` (such as ``Staging.store``)
+    stores these, and the valid rows, so that they are computed once and later steps start from stored tables.
     """
-    valid, rejected = split_by_flags(flagged(table, bronze, parents, attach))
-    return Cleaned(with_silver_time(newest_valid(table, valid)), with_silver_time(rejected))
+    rows = flagged(table, bronze, parents, attach)
+    if keep:
+        rows = keep(rows, f"{table}-flagged")
+    valid, rejected = split_by_flags(rows)
+    valid = newest_valid(table, valid)
+    if keep:
+        valid = keep(valid, f"{table}-valid")
+    return Cleaned(with_silver_time(valid), with_silver_time(rejected))
 
 
-def clean_all(bronze: Mapping[str, DataFrame]) -> dict[str, Cleaned]:
+def clean_all(bronze: Mapping[str, DataFrame], keep: Keep | None = None) -> dict[str, Cleaned]:
     """Clean the given tables in dependency order; children are checked against cleaned parents."""
     done: dict[str, Cleaned] = {}
     for table in CLEANINGS:
         if table in bronze:
             parents = {name: part.valid for name, part in done.items()}
-            done[table] = clean(table, bronze[table], parents, join_cleaned_parent)
+            done[table] = clean(table, bronze[table], parents, join_cleaned_parent, keep)
     return done
 
 
