@@ -12,7 +12,7 @@ from sluicebox.functions import business, dates, numbers
 from sluicebox.operators.keys import with_parent
 from sluicebox.operators.quality import contract_violations
 from sluicebox.plans import forecast, gold, governed, kpi, serving
-from sluicebox.sources.storage import fresh_folder, read_table
+from sluicebox.sources.storage import Staging, fresh_folder, read_table
 from sluicebox.streaming.metrics import customer_windows, realtime_metrics
 
 # ---- DuckDB side ------------------------------------------------------------------------------------------
@@ -620,16 +620,20 @@ def ml_scale(t: Inputs) -> DataFrame:
     return scaled.select(*_SERIES_KEY, *[(F.round(f"f_{f}", 4) + 0.0).alias(f"f_{f}") for f in forecast.FEATURES])
 
 
+def stored_features(t: Inputs) -> DataFrame:
+    return Staging(t.spark, fresh_folder(t.spark, "features")).store(features_of(t), "features")
+
+
 @check("ml_train_rf")
 def ml_train_rf(t: Inputs) -> DataFrame:
-    features = features_of(t).persist()
+    features = stored_features(t)
     train, test = forecast.time_split(features)
     model = forecast.fit(train, trees=20, max_depth=5)
     return model.transform(test).select(*_SERIES_KEY, "units_sold", "prediction")
 
 
 def predictions_of(t: Inputs) -> DataFrame:
-    features = features_of(t).persist()
+    features = stored_features(t)
     return forecast.predict(forecast.fit(features, trees=20, max_depth=5), features)
 
 
@@ -640,7 +644,7 @@ check("forecast_for_product")(lambda t: forecast.forecast_for_product(prediction
 @check("pipe_ml")
 def pipe_ml(t: Inputs) -> DataFrame:
     """Train, evaluate, store, load again, predict, save and read the saved forecast."""
-    features = features_of(t)
+    features = stored_features(t)
     model, metrics = forecast.train_and_evaluate(features, trees=20, max_depth=5)
     store = forecast.ModelStore(t.spark, fresh_folder(t.spark, "models"))
     store.save_model(model, metrics)

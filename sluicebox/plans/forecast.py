@@ -26,6 +26,7 @@ from sluicebox.sources.storage import (
     path_exists,
     read_small_text,
     read_tables,
+    staging,
     write_small_text,
 )
 
@@ -336,15 +337,28 @@ class ModelStore:
 
 
 def train_from_silver(
-    spark: SparkSession, silver_root: str, store: ModelStore, test_days: int = TEST_DAYS, **settings: int
+    spark: SparkSession,
+    silver_root: str,
+    store: ModelStore,
+    test_days: int = TEST_DAYS,
+    fmt: str = "parquet",
+    **settings: int,
 ) -> dict:
-    model, metrics = train_and_evaluate(features_from_silver(spark, silver_root), test_days, **settings)
-    version = store.save_model(model, metrics)
+    """Train on stored features: the many passes over them start from a table, not from the joins behind it."""
+    with staging(spark, "train") as stage:
+        features = stage.store(features_from_silver(spark, silver_root, fmt), "features")
+        model, metrics = train_and_evaluate(features, test_days, **settings)
+        version = store.save_model(model, metrics)
     return {"version": version, **metrics}
 
 
 def predict_from_silver(
-    spark: SparkSession, silver_root: str, store: ModelStore, horizon_days: int = HORIZON_DAYS
+    spark: SparkSession,
+    silver_root: str,
+    store: ModelStore,
+    horizon_days: int = HORIZON_DAYS,
+    fmt: str = "parquet",
 ) -> str:
-    predictions = predict(store.load_model(), features_from_silver(spark, silver_root), horizon_days)
-    return store.save_table(predictions, "predictions")
+    with staging(spark, "predict") as stage:
+        features = stage.store(features_from_silver(spark, silver_root, fmt), "features")
+        return store.save_table(predict(store.load_model(), features, horizon_days), "predictions")

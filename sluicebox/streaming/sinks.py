@@ -75,7 +75,10 @@ class VersionedTable:
 
 @dataclass(frozen=True)
 class LiveMetrics:
-    """Where live metrics live: the parts table, the metrics table and an optional serving target."""
+    """Where live metrics live: the parts table, the metrics table and an optional serving target.
+
+    A root belongs to one stream checkpoint, since its batch ids order the changes; a new checkpoint gets a new root.
+    """
 
     spark: SparkSession
     root: str
