@@ -17,7 +17,7 @@ HEADLINE = (
     "dq_report clean_customers clean_products clean_orders clean_order_items clean_payments clean_inventory "
     "bronze_metadata src_csv_permissive stream_silver stream_watermark sink_stream_upsert sink_serving_replace "
     "contract_check guarded_query agg_daily_product_sales ts_features history_tail ml_future_features ml_time_split "
-    "ml_evaluate pipe_silver pipe_gold"
+    "ml_evaluate pipe_gold"
 ).split()
 
 

@@ -21,6 +21,10 @@ EVENT_TYPES = (
 )
 EVENT_TOPICS = ("customer-events", "order-events", "payment-events", "inventory-events")
 
+# How far a settled payment may differ from its order, and the days counted as recent.
+AMOUNT_TOLERANCE = 0.05
+RECENT_DAYS = 30
+
 # Stream timing.
 WATERMARK = "10 minutes"
 WINDOW = "5 minutes"
@@ -115,6 +119,7 @@ def _serving(name: str, ddl: str, key: str, **max_length: int) -> ServingTable:
     return ServingTable(name, struct(ddl), (key,), max_length)
 
 
+# Serving columns in order, types, keys and text lengths.
 SERVING_TABLES = {
     table.name: table
     for table in (

@@ -18,16 +18,19 @@ class Rule:
     flag: str
     broken: str | Column
 
-    def mark(self) -> Column:
+    def raised(self) -> Column:
+        """The flag in an array, or an empty array."""
         broken = F.expr(self.broken) if isinstance(self.broken, str) else self.broken
-        return F.when(broken, F.lit(self.flag))
+        return F.when(broken, F.array(F.lit(self.flag))).otherwise(no_flags())
+
+
+def no_flags() -> Column:
+    return F.array().cast("array<string>")
 
 
 def collect_flags(rules: Sequence[Rule]) -> Column:
-    """All raised flags in rule order, as one expression (no chain of projections)."""
-    if not rules:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[rule.mark() for rule in rules]))
+    """All raised flags in rule order, as one expression that compiles (no projection or lambda per rule)."""
+    return F.concat(no_flags(), *[rule.raised() for rule in rules])
 
 
 def with_flags(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.contracts import BATCH_GOLD
+from sluicebox.contracts import BATCH_GOLD, RECENT_DAYS
 from sluicebox.functions.business import counts_as_revenue, inventory_status, status_urgency
 from sluicebox.functions.dates import today_or
 from sluicebox.functions.numbers import (
@@ -196,12 +196,12 @@ def customer_360(
 
 
 def recent_days(days: DataFrame, as_of: date | str | None = None) -> DataFrame:
-    return days.filter(F.col("sales_date") >= F.date_sub(today_or(as_of), 30))
+    return days.filter(F.col("sales_date") >= F.date_sub(today_or(as_of), RECENT_DAYS))
 
 
 def recent_orders(orders: DataFrame, as_of: date | str | None = None) -> DataFrame:
     """Revenue orders of the last 30 days."""
-    return revenue_orders(orders).filter(F.col("order_date") >= F.date_sub(today_or(as_of), 30))
+    return revenue_orders(orders).filter(F.col("order_date") >= F.date_sub(today_or(as_of), RECENT_DAYS))
 
 
 def demand_velocity(days: DataFrame, as_of: date | str | None = None) -> DataFrame:

@@ -9,7 +9,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicebox.contracts import FLAGS, ORDER_STATUSES, PAYMENT_STATUSES, SETTLED_PAYMENTS, raw_source
+from sluicebox.contracts import (
+    AMOUNT_TOLERANCE,
+    ORDER_STATUSES,
+    PAYMENT_STATUSES,
+    SETTLED_PAYMENTS,
+    raw_source,
+)
 from sluicebox.functions.dates import to_date, to_timestamp
 from sluicebox.functions.numbers import to_double, to_long
 from sluicebox.functions.text import is_blank, lowered, or_unknown, snake_code, tidy_name, trimmed, uppered
@@ -172,9 +178,9 @@ def _order_items() -> Cleaning:
 
 
 def amount_mismatch(amount: str, expected: str) -> Rule:
-    """A settled payment that differs from its order's total by more than 0.05."""
+    """A settled payment that differs from its order's total by more than the tolerance."""
     settled = F.col("payment_status").isin(*SETTLED_PAYMENTS)
-    differs = F.abs(F.col(amount) - F.col(expected)) > 0.05
+    differs = F.abs(F.col(amount) - F.col(expected)) > AMOUNT_TOLERANCE
     return Rule("payment_amount_mismatch", settled & F.col(expected).isNotNull() & differs)
 
 
@@ -372,6 +378,3 @@ def refine(
         results.append(refine_table(spark, table, bronze, cleaned, silver_root, quarantine_root, fmt))
         cleaned[table] = read_table(spark, f"{silver_root}/{table}", fmt)
     return results
-
-
-__all__ = ["CLEANINGS", "Cleaned", "FLAGS", "clean", "clean_all", "flagged", "refine", "typed"]
