@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import decontamination, language, pieces, quality, rules, toxicity
+from sluicebox.llm import decontamination, jaccard, language, pieces, private, quality, rules, tokens, toxicity
 from sluicebox.llm.common import documents, ship_package
 
 
@@ -31,6 +31,20 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(documents(spark, folder), pieces.read_model(public_tokenizers.path(PIECES)))
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.query(documents(spark, folder))
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_tokenizers.path(WORDS), encoding="utf-8") as file:
+        content = file.read()
+    return tokens.query(documents(spark, folder), content)
+
+
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return private.query(documents(spark, folder))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.query(documents(spark, folder))
 
@@ -47,6 +61,9 @@ QUERIES = (
     op2_quality_rules,
     op3_decontamination,
     op4_sentencepiece,
+    op5_jaccard_join,
+    op6_token_counts,
+    op7_personal_data,
     op8_language_id,
     op9_toxicity,
     op10_quality_classifier,
