@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import decontamination, jaccard, language, pieces, private, quality, rules, tokens, toxicity
+from sluicebox.llm import decontamination, jaccard, language, pieces, private, quality, repeats, rules, tokens, toxicity
 from sluicebox.llm.common import documents, ship_package
 
 
@@ -19,6 +19,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.query(documents(spark, folder))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.query(documents(spark, folder))
 
@@ -58,6 +62,7 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = (
+    op1_suffix_dedup,
     op2_quality_rules,
     op3_decontamination,
     op4_sentencepiece,
