@@ -279,7 +279,7 @@ def _packed_bits(numbers: list[int]) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def _merged(runs: DataFrame, n_ranges: int) -> DataFrame:
+def _merged(runs: DataFrame, n_ranges: int, group_limit: int) -> DataFrame:
     """Rows with bits: content and its repeated windows. Rows with a hash: a window of a large group, not judged yet."""
 
     def judge(group: list[tuple], large: bool, stop: int | None = None) -> tuple[list, list]:
@@ -324,7 +324,7 @@ def _merged(runs: DataFrame, n_ranges: int) -> DataFrame:
                 rows += b
                 group, large = [], False
             group.append((run.string, *run.payload[run.at], shared if shared >= GRAM else 0))
-            if len(group) > GROUP:  # all but the last go on as hashes; the last needs to know its follower
+            if len(group) > group_limit:  # all but the last go on as hashes; the last needs to know its follower
                 large = True
                 rows += judge(group, large, len(group) - 1)[1]
                 group = group[-1:]
@@ -349,7 +349,7 @@ def _merged(runs: DataFrame, n_ranges: int) -> DataFrame:
     return runs.repartitionById(n_ranges, "range").mapInArrow(run, "content bigint, bits binary, number int, digest binary")
 
 
-def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repeated_windows(docs: DataFrame, group_limit: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """(units of documents, (content, bits)): which windows of a content occur elsewhere; bits is null where all do."""
     described = store(describe(docs), "repeats-units")
     zipped = F.arrays_zip("contents", "grams")
@@ -365,7 +365,7 @@ def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     n_ranges = 1 + size // RANGE_BYTES
     cuts = [k / n_ranges for k in range(1, n_ranges)]
     splitters = sorted(set(strings.agg(F.percentile_approx("head", cuts, 10_000).alias("s")).first()["s"] or [])) if cuts else []
-    merged = store(_merged(_runs(strings, splitters), len(splitters) + 1), "repeats-merged")
+    merged = store(_merged(_runs(strings, splitters), len(splitters) + 1, group_limit), "repeats-merged")
     direct = merged.where("bits is not null").select("content", "bits")
     counted = merged.where("bits is null")
     twice = counted.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
@@ -435,10 +435,10 @@ def covered(raw: bytes, hits: list[dict]) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()))
 
 
-def query(docs: DataFrame) -> DataFrame:
+def query(docs: DataFrame, group_limit: int = GROUP) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document."""
     docs = docs.select("doc_id", "text")
-    return _removed(docs, *repeated_windows(docs), kept_text=False)
+    return _removed(docs, *repeated_windows(docs, group_limit), kept_text=False)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
