@@ -245,7 +245,7 @@ check(
        f"CAST({money('item_total')} AS DOUBLE) AS net, COUNT(*) AS item_rows FROM sold_m GROUP BY ALL")
 def agg_product_days(t: Inputs) -> DataFrame:
     days = gold.product_days(t["orders_m"], t["order_items_m"])
-    return days.select("product_id", "sales_date", "units", numbers.from_parts("net").cast("double").alias("net"), "item_rows")
+    return days.select("product_id", "sales_date", "units", numbers.from_parts("net").double().alias("net"), "item_rows")
 
 
 # ---- scalar functions -------------------------------------------------------------------------------------

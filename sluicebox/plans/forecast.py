@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluicebox.functions.dates import calendar
-from sluicebox.functions.numbers import rounded, sum_of_parts
+from sluicebox.functions.numbers import sum_of_parts
 from sluicebox.operators.keys import with_position
 from sluicebox.plans.gold import product_days
 from sluicebox.sources.storage import (
@@ -53,7 +53,7 @@ def daily_product_sales(orders: DataFrame, items: DataFrame, products: DataFrame
         product_days(orders, items)
         .join(categories, "product_id", "left")
         .groupBy("sales_date", "product_id", "category_id")
-        .agg(F.sum("units").cast("double").alias("units_sold"), rounded(sum_of_parts("net")).alias("revenue"))
+        .agg(F.sum("units").cast("double").alias("units_sold"), sum_of_parts("net").rounded().alias("revenue"))
     )
 
 

@@ -17,13 +17,15 @@ from sluicebox.contracts import BATCH_GOLD, RECENT_DAYS
 from sluicebox.functions.business import counts_as_revenue, inventory_status, status_urgency
 from sluicebox.functions.dates import today_or
 from sluicebox.functions.numbers import (
-    exact_sum,
+    Money,
+    count_of,
+    from_parts,
+    money,
     resum_parts,
-    rounded,
     safe_ratio,
-    scaled,
     sum_of_parts,
     sum_parts,
+    total,
 )
 from sluicebox.sources.storage import DEFAULT_FORMAT, read_tables, staging, write_counted
 
@@ -49,15 +51,15 @@ def orders_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def daily_sales_summary(orders: DataFrame, items: DataFrame, unique_orders: bool = False) -> DataFrame:
-    revenue = exact_sum(scaled("order_total"))
+    revenue = total(money("order_total"))
     return (
         orders_with_items(orders, items)
         .groupBy(F.col("order_date").alias("sales_date"))
         .agg(
             _order_count(unique_orders).alias("total_orders"),
-            rounded(revenue).alias("total_revenue"),
+            revenue.rounded().alias("total_revenue"),
             F.coalesce(F.sum("items_sold"), F.lit(0)).cast("bigint").alias("total_items_sold"),
-            safe_ratio(revenue, F.count(scaled("order_total")), 2).alias("average_order_value"),
+            revenue.ratio(count_of("order_total"), 2).alias("average_order_value"),
             F.countDistinct("customer_id").alias("unique_customers"),
         )
     )
@@ -75,9 +77,9 @@ def sold_sums(orders: DataFrame, items: DataFrame, *grain: str) -> DataFrame:
         .groupBy(*grain)
         .agg(
             F.sum("quantity").alias("units"),
-            *sum_parts(F.col("quantity") * scaled("unit_price"), "gross"),
-            *sum_parts(scaled("discount"), "discount"),
-            *sum_parts(scaled("item_total"), "net"),
+            *sum_parts(money("unit_price").times(F.col("quantity")), "gross"),
+            *sum_parts(money("discount"), "discount"),
+            *sum_parts(money("item_total"), "net"),
             F.count(F.lit(1)).alias("item_rows"),
         )
     )
@@ -114,10 +116,10 @@ def product_performance(sums: DataFrame, products: DataFrame, categories: DataFr
         .groupBy("product_id", "product_name", "category_name")
         .agg(
             F.sum("units").cast("bigint").alias("units_sold"),
-            rounded(sum_of_parts("gross")).alias("gross_revenue"),
-            rounded(sum_of_parts("discount")).alias("discount_amount"),
-            rounded(sum_of_parts("net")).alias("net_revenue"),
-            safe_ratio(exact_sum(scaled("rating") * rated), F.sum(rated), 2).alias("average_rating"),
+            sum_of_parts("gross").rounded().alias("gross_revenue"),
+            sum_of_parts("discount").rounded().alias("discount_amount"),
+            sum_of_parts("net").rounded().alias("net_revenue"),
+            total(money("rating").times(rated)).ratio(F.sum(rated), 2).alias("average_rating"),
         )
     )
 
@@ -142,33 +144,34 @@ def category_performance(
         .join(products.select("product_id", "category_id"), "product_id", "left")
         .join(kept, "order_id")
         .groupBy("order_id", "category_id")
-        .agg(F.sum("quantity").alias("units"), *sum_parts(scaled("item_total"), "net"))
+        .agg(F.sum("quantity").alias("units"), *sum_parts(money("item_total"), "net"))
     )
     totals = per_order.groupBy("category_id").agg(
-        F.count("order_id").alias("total_orders"), F.sum("units").alias("units"), sum_of_parts("net").alias("net")
+        F.count("order_id").alias("total_orders"), F.sum("units").alias("units"), *resum_parts("net")
     )
     names = categories.groupBy("category_id", "category_name").agg(F.count(F.lit(1)).alias("listed"))
     times = F.coalesce("listed", F.lit(1))
-    revenue = F.round(F.col("net") * times, 2)
+    net = from_parts("net")
+    revenue = Money(F.round(net.exact * times, 2), net.other * times)
     return totals.join(names, "category_id", "left").select(
         "category_id",
         "category_name",
         "total_orders",
         (F.col("units") * times).cast("bigint").alias("units_sold"),
-        revenue.cast("double").alias("revenue"),
-        safe_ratio(revenue, F.col("total_orders"), 2).alias("average_order_value"),
+        revenue.rounded().alias("revenue"),
+        revenue.ratio(F.col("total_orders"), 2).alias("average_order_value"),
     )
 
 
 def customer_orders(orders: DataFrame, unique_orders: bool = False) -> DataFrame:
-    spent = exact_sum(scaled("order_total"))
+    spent = total(money("order_total"))
     return (
         revenue_orders(orders)
         .groupBy("customer_id")
         .agg(
             _order_count(unique_orders).alias("total_orders"),
-            rounded(spent).alias("lifetime_value"),
-            safe_ratio(spent, F.count(scaled("order_total")), 2).alias("average_order_value"),
+            spent.rounded().alias("lifetime_value"),
+            spent.ratio(count_of("order_total"), 2).alias("average_order_value"),
             F.max("order_date").alias("last_order_date"),
         )
     )
@@ -181,7 +184,7 @@ def customer_360(
     return (
         customers.select("customer_id", "customer_name", "customer_segment")
         .join(customer_orders(orders, unique_orders), "customer_id", "left")
-        .na.fill({"total_orders": 0, "lifetime_value": 0.0, "average_order_value": 0.0})
+        .withColumns({name: F.coalesce(name, F.lit(0)) for name in ("total_orders", "lifetime_value", "average_order_value")})
         .select(
             "customer_id",
             "customer_name",

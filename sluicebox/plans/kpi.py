@@ -11,19 +11,19 @@ from pyspark.sql import functions as F
 from sluicebox.contracts import serving_table
 from sluicebox.functions.business import at_risk, status_urgency
 from sluicebox.functions.dates import month_start
-from sluicebox.functions.numbers import exact_sum, scaled
+from sluicebox.functions.numbers import count_of, money, total
 
 MAX_LIMIT = 500
 DEFAULT_LIMIT = 25
 
 
 def _money_total(name: str) -> Column:
-    return exact_sum(scaled(name)).cast("double")
+    return total(money(name)).double()
 
 
 def _money_mean(name: str) -> Column:
     """Mean from an exact total; NULL without rows."""
-    return F.try_divide(_money_total(name), F.count(scaled(name)))
+    return F.try_divide(_money_total(name), count_of(name))
 
 
 def _columns(table: str) -> list[str]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluicebox.contracts import SLIDE, WINDOW, serving_table
 from sluicebox.functions.business import cart_abandonment_rate, payment_failure_rate
-from sluicebox.functions.numbers import from_parts, resum_parts, scaled, sum_parts
+from sluicebox.functions.numbers import from_parts, money, resum_parts, sum_parts
 
 # Output column -> event type it counts.
 COUNTED = {
@@ -29,7 +29,7 @@ def _count_of(event_type: str) -> Column:
 
 
 def event_measures() -> list[Column]:
-    sold = F.when(F.col("event_type") == "purchase_completed", scaled("price") * F.col("quantity"))
+    sold = money("price").times(F.col("quantity")).where(F.col("event_type") == "purchase_completed")
     counts = [_count_of(event_type).alias(name) for name, event_type in COUNTED.items()]
     return [*sum_parts(sold, "revenue"), *counts]
 
@@ -47,7 +47,7 @@ def _window_sums() -> list[Column]:
 def _finish(sums: DataFrame) -> DataFrame:
     return sums.withColumns(
         {
-            "revenue_per_window": F.coalesce(from_parts("revenue").cast("double"), F.lit(0.0)),
+            "revenue_per_window": F.coalesce(from_parts("revenue").double(), F.lit(0.0)),
             "payment_failure_rate": payment_failure_rate(),
             "cart_abandonment_rate": cart_abandonment_rate(),
         }

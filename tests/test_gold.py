@@ -117,15 +117,53 @@ def test_velocity_averages_days_with_sales(spark, orders, items, products):
 
 
 def test_money_is_exact_and_halves_round_up(spark):
-    rows = spark.createDataFrame([(0.01,), (0.02,), (float("nan"),), (None,)], "v double")
-    total, mean = rows.select(
-        numbers.exact_sum(numbers.scaled("v")),
-        numbers.safe_ratio(numbers.exact_sum(numbers.scaled("v")), F.count(numbers.scaled("v")), 2),
-    ).first()
-    assert float(total) == 0.03 and mean == 0.02  # 0.015 rounds up; NaN and NULL stay out
+    rows = spark.createDataFrame([(0.01,), (0.02,), (None,)], "v double")
+    value = numbers.total(numbers.money("v"))
+    total, mean = rows.select(value.double(), value.ratio(numbers.count_of("v"), 2)).first()
+    assert total == 0.03 and mean == 0.02  # 0.015 rounds up; NULL stays out
     big = spark.range(100).select(F.lit(9.0e10).alias("v"), F.lit(-123.4567).alias("w"))
-    assert big.select(numbers.exact_sum(numbers.scaled("v")).cast("double")).first()[0] == 9.0e12
-    assert float(big.select(numbers.exact_sum(numbers.scaled("w"))).first()[0]) == -12345.67
+    assert big.select(numbers.total(numbers.money("v")).double()).first()[0] == 9.0e12
+    assert float(big.select(numbers.total(numbers.money("w")).exact).first()[0]) == -12345.67
+
+
+def test_money_of_any_size_reaches_totals(spark):
+    nan, inf = float("nan"), float("inf")
+
+    def sums(*values):
+        rows = spark.createDataFrame([(v,) for v in values], "v double")
+        value = numbers.total(numbers.money("v"))
+        return tuple(rows.select(value.rounded(), value.ratio(numbers.count_of("v"), 2)).first())
+
+    assert sums(1e15, 10.0) == (1e15 + 10, round((1e15 + 10) / 2, 2))
+    assert sums(1e300, 5.0, None)[0] == 1e300
+    assert sums(inf, 1.0) == (inf, inf) and all(x != x for x in sums(nan, 1e15, 10.0))
+    assert sums(None) == (None, None)
+    item = spark.createDataFrame([(10**15, 5.0), (2, 3.25), (10**15, nan), (None, 1.0)], "q bigint, p double")
+    product = numbers.total(numbers.money("p").times(F.col("q")))
+    assert item.where("not isnan(p)").select(product.rounded()).first()[0] == 5e15 + 6.5
+    assert item.select(product.rounded()).first()[0] != item.select(product.rounded()).first()[0]
+
+
+def test_gold_keeps_large_and_odd_amounts(spark):
+    orders = spark.createDataFrame(
+        [(1, 7, "2026-01-01", "delivered", "paid", 1e15), (2, 7, "2026-01-01", "delivered", "paid", 10.0), (3, 8, "2026-01-02", "delivered", "paid", float("nan"))],
+        "order_id bigint, customer_id bigint, order_date string, order_status string, payment_status string, order_total double",
+    ).withColumn("order_date", F.to_date("order_date"))
+    items = spark.createDataFrame(
+        [(1, 5, 10**15, 5.0, 0.0, 5e15), (2, 5, 1, 2.5, 0.5, 2.0)],
+        "order_id bigint, product_id bigint, quantity bigint, unit_price double, discount double, item_total double",
+    )
+    days = {str(r.sales_date): r for r in gold.daily_sales_summary(orders, items).collect()}
+    assert days["2026-01-01"].total_revenue == 1e15 + 10 and days["2026-01-01"].total_orders == 2
+    assert days["2026-01-02"].total_revenue != days["2026-01-02"].total_revenue
+    products = spark.createDataFrame([(5, 1, "p", 4.5)], "product_id bigint, category_id bigint, product_name string, rating double")
+    names = spark.createDataFrame([(1, "c")], "category_id bigint, category_name string")
+    row = gold.product_performance(gold.sold_sums(orders, items, "product_id"), products, names).first()
+    assert row.gross_revenue == 5e15 + 2.5 and row.net_revenue == 5e15 + 2 and row.discount_amount == 0.5
+    assert gold.category_performance(orders, items, products, names).first().revenue == 5e15 + 2
+    customers = spark.createDataFrame([(7, "a", "s"), (8, "b", "s"), (9, "c", "s")], "customer_id bigint, customer_name string, customer_segment string")
+    value = {r.customer_id: r.lifetime_value for r in gold.customer_360(customers, orders, "2026-01-03").collect()}
+    assert value[7] == 1e15 + 10 and value[8] != value[8] and value[9] == 0.0
 
 
 def test_rates_guard_zero_and_may_be_negative(spark):

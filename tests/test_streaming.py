@@ -178,3 +178,14 @@ def test_state_holds_no_customer_sets(spark, folder):
     batch = spark.read.schema(ev.MESSAGE_SCHEMA).json(folder)
     plan = metrics.realtime_metrics(ev.metric_events(batch))._jdf.queryExecution().executedPlan().toString()
     assert "collect_set" not in plan and "Python" not in plan
+
+
+def test_large_and_odd_prices_stay_in_window_revenue(spark):
+    rows = [("a", "purchase_completed", 6e14, 30_000), ("b", "purchase_completed", 1e15, 1), ("c", "purchase_completed", 2.5, 2)]
+    events = spark.createDataFrame(rows, "customer_id string, event_type string, price double, quantity bigint").selectExpr(
+        "*", "timestamp'2026-01-01 00:00:30' AS event_timestamp"
+    )
+    found = {r.revenue_per_window for r in metrics.realtime_metrics(events).collect()}
+    assert found == {6e14 * 30_000 + 1e15 + 5.0}
+    odd = metrics.realtime_metrics(events.selectExpr("customer_id", "event_type", "double('NaN') AS price", "quantity", "event_timestamp"))
+    assert all(r.revenue_per_window != r.revenue_per_window for r in odd.collect())
