@@ -13,20 +13,46 @@ from sluicebox.contracts import SERVING_TABLES
 
 DEFAULT_LIMIT = 100
 
-# Root nodes of a read-only query, and functions that run arbitrary code.
+# What a read-only query may consist of. Anything else is refused, known or not.
 QUERY_ROOTS = frozenset(
-    "Project Aggregate UnresolvedHaving Sort GlobalLimit LocalLimit Offset Distinct Filter "
+    "Project Aggregate UnresolvedHaving Sort GlobalLimit LocalLimit LimitAll Offset Distinct Filter "
     "WithWindowDefinition Union Except Intersect UnresolvedWith SubqueryAlias".split()
 )
+PLAN_NODES = QUERY_ROOTS | frozenset("Join UnresolvedRelation OneRowRelation".split())
+EXPRESSION_NODES = frozenset(
+    "Add Alias And AttributeReference CaseWhen Cast Concat CreateNamedStruct Cube CurrentRow$ Divide EqualNullSafe EqualTo "
+    "Exists GreaterThan GreaterThanOrEqual GroupingSets ILike In InSubquery IntegralDivide IsNotNull IsNull LessThan "
+    "LessThanOrEqual Like LikeAll LikeAny ListQuery Literal Multiply Not NotLikeAll NotLikeAny Or Overlay RLike Remainder "
+    "Rollup ScalarSubquery SortOrder SpecifiedWindowFrame StringLocate StringTrim StringTrimLeft StringTrimRight Substring "
+    "Subtract UnaryMinus UnaryPositive UnboundedFollowing$ UnboundedPreceding$ UnresolvedAlias UnresolvedAttribute "
+    "UnresolvedExtractValue UnresolvedFunction UnresolvedOrdinal UnresolvedStar UnresolvedStarExceptOrReplace "
+    "UnresolvedWindowExpression UnspecifiedFrame$ WindowExpression WindowSpecDefinition".split()
+)
+FUNCTIONS = frozenset(
+    "abs acos add_months any any_value approx_count_distinct approx_percentile array asin atan atan2 avg between bool_and "
+    "bool_or bround cast ceil ceiling char_length character_length coalesce collect_list collect_set concat concat_ws contains "
+    "corr cos count count_if covar_pop covar_samp cume_dist current_date current_timestamp date date_add date_diff date_format "
+    "date_part date_sub date_trunc dateadd datediff day dayofmonth dayofweek dayofyear dense_rank endswith every exp extract "
+    "first first_value floor format_number from_unixtime greatest grouping grouping_id hour if ifnull initcap instr isnan "
+    "isnotnull isnull kurtosis lag last last_day last_value lcase lead least left length like ln locate log log10 log2 lower lpad "
+    "ltrim make_date max max_by mean median min min_by minute mod mode month months_between named_struct next_day now nth_value "
+    "ntile nullif nullifzero nvl nvl2 percent_rank percentile percentile_approx percentile_cont percentile_disc pi pmod position "
+    "pow power quarter rank regexp_extract regexp_like regexp_replace repeat replace reverse right rint rlike round row_number "
+    "rpad rtrim second sign signum sin size skewness some split sqrt startswith std stddev stddev_pop stddev_samp substr substring "
+    "sum tan timestamp to_date to_timestamp translate trim trunc try_add try_divide try_multiply try_subtract try_sum try_avg "
+    "ucase unix_timestamp upper var_pop var_samp variance weekday weekofyear when width_bucket year zeroifnull".split()
+)
 LIMIT_ROOTS = frozenset({"GlobalLimit", "LocalLimit"})
-CODE_FUNCTIONS = frozenset({"reflect", "java_method", "try_reflect"})
 
 
 @dataclass(frozen=True)
 class Verdict:
+    """``limit`` is set where the text has no limit and none can be written behind it."""
+
     ok: bool
     sql: str
     error: str | None = None
+    limit: int | None = None
 
 
 def _nodes(tree) -> Iterator[dict]:
@@ -55,6 +81,21 @@ def _root(plan: list[dict]) -> str:
     return kinds[1] if kinds[0] == "UnresolvedWith" and len(kinds) > 1 else kinds[0]
 
 
+def _parsed(spark: SparkSession, text: str):
+    return spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+
+
+def _limited(spark: SparkSession, text: str, limit: int) -> Verdict:
+    """A LIMIT is written behind the text where that parses and limits the whole; else it is applied to the result."""
+    longer = f"{text}\nLIMIT {limit}"
+    try:
+        if _root(json.loads(_parsed(spark, longer).toJSON())) in LIMIT_ROOTS:
+            return Verdict(True, longer)
+    except ParseException:
+        pass
+    return Verdict(True, text, limit=limit)
+
+
 def check_sql(spark: SparkSession, sql: str, default_limit: int = DEFAULT_LIMIT) -> Verdict:
     """Accept one read-only query over approved tables; nothing is executed.
 
@@ -65,7 +106,7 @@ def check_sql(spark: SparkSession, sql: str, default_limit: int = DEFAULT_LIMIT)
     if not text:
         return Verdict(False, text, "SQL is empty.")
     try:
-        parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+        parsed = _parsed(spark, text)
     except ParseException:
         several = ";" in text
         return Verdict(False, text, "Multiple SQL statements are not allowed." if several else "SQL cannot be parsed.")
@@ -75,9 +116,12 @@ def check_sql(spark: SparkSession, sql: str, default_limit: int = DEFAULT_LIMIT)
         return Verdict(False, text, "Only SELECT queries are allowed.")
 
     nodes = list(_nodes(plan))
-    called = {_names(n["nameParts"])[-1] for n in nodes if _kind(n) == "UnresolvedFunction"}
-    if called & CODE_FUNCTIONS:
-        return Verdict(False, text, f"Function is not allowed: {sorted(called & CODE_FUNCTIONS)[0]}.")
+    strange = sorted({_kind(n) for n in nodes} - PLAN_NODES - EXPRESSION_NODES)
+    if strange:
+        return Verdict(False, text, f"Not allowed in a query: {strange[0]}.")
+    called = {".".join(_names(n["nameParts"])) for n in nodes if _kind(n) == "UnresolvedFunction"}
+    if called - FUNCTIONS:
+        return Verdict(False, text, f"Function is not allowed: {sorted(called - FUNCTIONS)[0]}.")
 
     defined = {c["_1"].lower() for n in nodes if _kind(n) == "UnresolvedWith" for c in n["cteRelations"]}
     hiding = sorted(name for name in defined if name in SERVING_TABLES or spark.catalog.tableExists(name))
@@ -91,7 +135,7 @@ def check_sql(spark: SparkSession, sql: str, default_limit: int = DEFAULT_LIMIT)
         name = ".".join(parts)
         if parts[-1] not in SERVING_TABLES or (len(parts) > 1 and not spark.catalog.tableExists(name)):
             return Verdict(False, text, f"Table is not approved: {name}.")
-    return Verdict(True, text if root in LIMIT_ROOTS else f"{text}\nLIMIT {default_limit}")
+    return Verdict(True, text) if root in LIMIT_ROOTS else _limited(spark, text, default_limit)
 
 
 def run_approved(
@@ -108,4 +152,5 @@ def run_approved(
     verdict = check_sql(spark, sql, default_limit)
     if not verdict.ok:
         raise ValueError(verdict.error)
-    return spark.sql(verdict.sql)
+    df = spark.sql(verdict.sql)
+    return df if verdict.limit is None else df.limit(verdict.limit)

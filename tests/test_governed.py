@@ -29,7 +29,19 @@ def gold(spark):
         ("WITH q AS (SELECT * FROM users) SELECT * FROM q", "not approved"),
         ("WITH users AS (SELECT * FROM users) SELECT * FROM users, customer_360", "hides"),
         ("SELECT 1", "at least one"),
-        ("SELECT * FROM range(5)", "at least one"),
+        ("SELECT * FROM range(5)", "Not allowed"),
+        ("SELECT * FROM customer_360, range(5)", "Not allowed"),
+        ("SELECT * FROM customer_360, IDENTIFIER('users')", "Not allowed"),
+        ("SELECT * FROM customer_360, IDENTIFIER('us' || 'ers')", "Not allowed"),
+        ("SELECT (SELECT max(id) FROM IDENTIFIER('users')) FROM customer_360", "Not allowed"),
+        ("SELECT IDENTIFIER('reflect')('java.lang.System', 'nanoTime') FROM customer_360", "Not allowed"),
+        ("SELECT IDENTIFIER('product_id') FROM customer_360", "Not allowed"),
+        ("SELECT * FROM customer_360 LATERAL VIEW explode(array(1)) t AS y", "Not allowed"),
+        ("SELECT /*+ BROADCAST(customer_360) */ * FROM customer_360", "Only SELECT"),
+        ("SELECT :p FROM customer_360", "Not allowed"),
+        ("SELECT input_file_name() FROM customer_360", "Function is not allowed"),
+        ("SELECT my_function(product_id) FROM customer_360", "Function is not allowed"),
+        ("SELECT spark_catalog.default.sum(product_id) FROM customer_360", "Function is not allowed"),
         ("SELECT reflect('java.lang.System', 'nanoTime') FROM customer_360", "not allowed"),
         ("SELECT * FROM customer_360; SELECT * FROM inventory_health", "Multiple"),
         ("SELECT (FROM", "cannot be parsed"),
@@ -54,6 +66,12 @@ def test_rejected(spark, gold, sql, part):
         ("SELECT extract(month FROM date_add(DATE '2026-01-01', 5)) AS m FROM daily_sales_summary LIMIT 1", 1),
         ("SELECT product_id FROM customer_360 UNION SELECT product_id FROM inventory_health", 100),
         ("SELECT product_id FROM customer_360 -- all of them", 100),
+        ("SELECT product_id FROM customer_360 ORDER BY product_id OFFSET 5", 100),
+        ("SELECT product_id FROM customer_360 ORDER BY product_id OFFSET 250", 50),
+        ("SELECT product_id FROM customer_360 LIMIT 10 OFFSET 5", 10),
+        ("SELECT product_id FROM customer_360 LIMIT ALL", 100),
+        ("SELECT m, row_number() OVER (PARTITION BY m ORDER BY net_revenue DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) r FROM customer_360", 100),
+        ("SELECT CASE WHEN m > 6 THEN 'late' ELSE 'early' END half, sum(net_revenue) FROM customer_360 GROUP BY ROLLUP(1)", 3),
     ],
 )
 def test_accepted(spark, gold, sql, rows):
