@@ -624,29 +624,60 @@ def stored_features(t: Inputs) -> DataFrame:
     return Staging(t.spark, fresh_folder(t.spark, "features")).store(features_of(t), "features")
 
 
-@check("ml_train_rf")
+_FORESTS: dict[tuple[str, str, str], object] = {}
+
+
+def forest_of(t: Inputs, part: str):
+    """The forest with the product's own settings on the early days, or on all; grown once per session and folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder, part)
+    if key not in _FORESTS:
+        features = stored_features(t)
+        _FORESTS[key] = forecast.fit(features if part == "all" else forecast.time_split(features)[0])
+    return _FORESTS[key]
+
+
+def in_range(predicted: DataFrame, training: DataFrame, name: str) -> DataFrame:
+    """Whether each prediction lies between the smallest and the largest label the forest was trained on."""
+    bounds = training.agg(F.min("units_sold").alias("lo"), F.max("units_sold").alias("hi")).first()
+    return predicted.withColumn("in_range", F.coalesce(F.col(name).between(bounds["lo"] - 1e-9, bounds["hi"] + 1e-9), F.lit(False)))
+
+
+_FORECAST = "sales_date, product_id, category_id, lag_1, rolling_mean_7, rolling_mean_30, TRUE AS in_range"
+_FORECAST_COLUMNS = "sales_date product_id category_id lag_1 rolling_mean_7 rolling_mean_30 in_range".split()
+
+
+@check(
+    "ml_train_rf",
+    "SELECT sales_date, product_id, units_sold, TRUE AS in_range FROM features_m "
+    "WHERE sales_date > (SELECT MAX(sales_date) FROM sales_m) - 14",
+)
 def ml_train_rf(t: Inputs) -> DataFrame:
-    features = stored_features(t)
-    train, test = forecast.time_split(features)
-    model = forecast.fit(train, trees=20, max_depth=5)
-    return model.transform(test).select(*_SERIES_KEY, "units_sold", "prediction")
+    train, test = forecast.time_split(stored_features(t))
+    scored = in_range(forest_of(t, "early").transform(test), train, "prediction")
+    return scored.select(*_SERIES_KEY, "units_sold", "in_range")
 
 
 def predictions_of(t: Inputs) -> DataFrame:
     features = stored_features(t)
-    return forecast.predict(forecast.fit(features, trees=20, max_depth=5), features)
+    predicted = forecast.predict(forest_of(t, "all"), features)
+    return in_range(predicted, features, "predicted_units_sold").select(*_FORECAST_COLUMNS)
 
 
-check("ml_predict")(lambda t: forecast.present_predictions(predictions_of(t)))
-check("forecast_for_product")(lambda t: forecast.forecast_for_product(predictions_of(t), 7))
+check("ml_predict", f"SELECT {_FORECAST} FROM future_m")(lambda t: forecast.present_predictions(predictions_of(t)))
+check("forecast_for_product", f"SELECT {_FORECAST} FROM future_m WHERE product_id = 7")(
+    lambda t: forecast.forecast_for_product(predictions_of(t), 7)
+)
 
 
-@check("pipe_ml")
+@check("pipe_ml", f"SELECT {_FORECAST} FROM future_m")
 def pipe_ml(t: Inputs) -> DataFrame:
     """Train, evaluate, store, load again, predict, save and read the saved forecast."""
     features = stored_features(t)
-    model, metrics = forecast.train_and_evaluate(features, trees=20, max_depth=5)
+    train, test = forecast.time_split(features)
+    model = forest_of(t, "early")
+    metrics = forecast.evaluate(model.transform(test)).first().asDict()
     store = forecast.ModelStore(t.spark, fresh_folder(t.spark, "models"))
     store.save_model(model, metrics)
     store.save_table(forecast.predict(store.load_model(), features), "predictions", fmt="parquet")
-    return t.spark.read.parquet(f"{store.root}/predictions/{store.latest('predictions')}")
+    saved = t.spark.read.parquet(f"{store.root}/predictions/{store.latest('predictions')}")
+    return in_range(saved, train, "predicted_units_sold").select(*_FORECAST_COLUMNS)
