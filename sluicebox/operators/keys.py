@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
-
 
 def latest_per_key(df: DataFrame, key: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
     """Keep the newest row of each key.
@@ -62,23 +60,16 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str)
     return used.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
 
 
-def with_orphans(
-    child: DataFrame, orphans: DataFrame, key: str, missing: str, bound: int = BROADCAST_ROWS
-) -> DataFrame:
+def with_orphans(child: DataFrame, orphans: DataFrame, key: str, missing: str) -> DataFrame:
     """Same column as ``with_parent``, from a stored orphan set.
 
-    Orphans are usually few, so the wide child is not shuffled at all, however its keys are spread. A set above
-    the bound is sort-merged, with hot keys split as in ``with_parent``.
+    Orphans are usually few: the size of the stored set lets Spark broadcast it, and the wide child is then not
+    shuffled at all, however its keys are spread. A larger set is sort-merged, with hot keys split as in ``with_parent``.
     """
-    marked = within_bound(orphans.withColumn(missing, F.lit(True)), bound)
+    marked = orphans.withColumn(missing, F.lit(True))
     return child.join(marked, key, "left").withColumn(missing, F.coalesce(missing, F.lit(False)))
 
 
-def within_bound(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a stored narrow table for broadcast only if its counted rows stay under the bound."""
-    return F.broadcast(stored) if stored.count() <= rows else stored
-
-
 def fk_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
     keys = parent.select(F.col(parent_key).alias(key)).distinct()

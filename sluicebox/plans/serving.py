@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluicebox.contracts import BATCH_GOLD, SERVING_TABLES, ServingTable, serving_table
@@ -42,13 +42,15 @@ class JdbcTarget:
 
     url: str
     properties: dict[str, str]
-    max_connections: int = 16
+    connections: int = 16
 
     def replace(self, rows: DataFrame, table: ServingTable) -> int:
-        writer = rows.coalesce(self.max_connections).write.mode("overwrite")
-        writer = writer.option("truncate", "true").option("batchsize", CHUNK_ROWS)
+        """Rows are dealt to as many tasks as there may be connections; their count comes from the write itself."""
+        seen = Observation()
+        dealt = rows.observe(seen, F.count(F.lit(1)).alias("rows")).repartition(self.connections)
+        writer = dealt.write.mode("overwrite").option("truncate", "true").option("batchsize", CHUNK_ROWS)
         writer.jdbc(self.url, table.name, properties=self.properties)
-        return rows.sparkSession.read.jdbc(self.url, table.name, properties=self.properties).count()
+        return int(seen.get["rows"])
 
 
 @dataclass(frozen=True)

@@ -43,5 +43,5 @@ def test_unknown_tables_are_refused():
 def test_cluster_settings_scale_with_the_shuffle():
     small, large = cluster_settings(10**9, 16, "/shared"), cluster_settings(100 * 10**12, 4000, "/shared")
     assert small["spark.sql.shuffle.partitions"] == "32"
-    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert large["spark.sql.shuffle.partitions"] == str(-(-100 * 10**12 // (256 * 1024**2)))
     assert large["spark.checkpoint.dir"] == "/shared"

@@ -210,21 +210,14 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert newest.filter("k = 1").first().batch_id == 19999
 
 
-def test_broadcast_only_within_the_bound(spark):
-    few = spark.range(10)
-    hinted = keys.within_bound(few, 10)._jdf.queryExecution().logical().toString()
-    plain = keys.within_bound(few, 9)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted and "broadcast" not in plain
-
-
 def test_orphans_agree_with_and_without_broadcast(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,), (3,)], "k bigint")
     parent = spark.createDataFrame([(1,), (3,)], "k bigint")
     expected = sorted(keys.with_parent(child, parent, "k", "k", "gone").collect(), key=repr)
     orphans = keys.orphan_keys(child, parent, "k", "k")
     assert [r.k for r in orphans.collect()] == [2]
-    for bound in (0, 100):
-        assert sorted(keys.with_orphans(child, orphans, "k", "gone", bound).collect(), key=repr) == expected
+    for hinted in (orphans, orphans.hint("broadcast"), orphans.hint("merge")):
+        assert sorted(keys.with_orphans(child, hinted, "k", "gone").collect(), key=repr) == expected
 
 
 def test_positions_are_a_total_order(spark):

@@ -63,9 +63,9 @@ def test_many_orphans_are_joined_with_hot_keys_split(spark, child, folder):
     keys.orphan_keys(child, parent, "order_id", "order_id").write.parquet(f"{folder}/orphans")
     orphans = spark.read.parquet(f"{folder}/orphans")
     with settings(spark, SMALL_PARTITIONS):
-        marked = keys.with_orphans(child, orphans, "order_id", "missing")
+        marked = keys.with_orphans(child, orphans.hint("broadcast"), "order_id", "missing")
         assert "BroadcastHashJoin" in final_plan(marked)
-        split = keys.with_orphans(child, orphans, "order_id", "missing", bound=10)
+        split = keys.with_orphans(child, orphans, "order_id", "missing")
         assert "skew=true" in final_plan(split)
     assert split.exceptAll(marked).count() == 0
     assert marked.filter("missing").count() == child.filter("order_id < 8 OR order_id >= 4000").count()
