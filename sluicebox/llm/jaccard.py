@@ -9,8 +9,9 @@ number of parts follows the size band of the set; a set near the upper border al
 1. Every non-empty part is exchanged once, packed by bucket of its hash. Parts that no other set has are only counted.
 2. A set keeps as many of its rarest parts as can differ, plus one. Two linked sets keep a common one. Sets with too many
    parts of their own can have no partner and are gone.
-3. All sets that keep a part are held against the smallest of them, by parity bits and then exactly; links make components;
-   in parts whose sets are still in different components, the pairs across components are held against each other too.
+3. Sets that keep a part are held against the smallest of them, by parity bits and then exactly: first one pair for each set, then
+   the pairs whose components are still apart. Where a part's sets are in different components after that, all pairs
+   across components are held against each other too.
 
 So all links matter to the components, while copies are never expanded into pairs. Sets are named by 63-bit hashes of their
 shingles; inside a pair, shingles are compared by 40 bits. The chance that hashes mistake one for another is below one in
@@ -36,6 +37,7 @@ SHINGLE = 5
 SMALL = 256  # smaller sets have a part for each shingle
 BUCKET_PARTS = 1_000_000
 FLUSH_PARTS = 2_000_000
+SLICE_BUCKETS = 8
 BLOCK_SETS = 200
 MAX_BITS = 8192
 CACHE_WORDS = 300_000
@@ -206,14 +208,14 @@ def _packed_parts(docs: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def _shared_parts(packed: DataFrame, n_buckets: int) -> DataFrame:
-    """(name, n_shared, keys, sets): for each set and bucket the parts that other sets have too, and in how many sets."""
+    """(name, n_shared, key, many): for each set the parts that other sets have too, and in how many sets.
 
-    def run(batches):
-        buckets: dict[int, list[tuple]] = {}
-        for batch in batches:
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
-                buckets.setdefault(row[0], []).append(row[1:])
-        for bucket, rows in buckets.items():
+    Buckets of parts come first; what they find is packed by slices of sets, and put together there.
+    """
+    n_slices = 1 + n_buckets // SLICE_BUCKETS
+
+    def by_bucket(batches):
+        for bucket, rows in _gathered(batches):
             names = np.concatenate([np.frombuffer(r[0], np.int64) for r in rows])
             counts = np.concatenate([np.frombuffer(r[1], np.uint16) for r in rows])
             low = np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows])
@@ -226,25 +228,56 @@ def _shared_parts(packed: DataFrame, n_buckets: int) -> DataFrame:
             starts = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1], [True]]))
             sets = np.repeat(np.diff(starts), np.diff(starts))
             many = sets > 1
-            low, names, sets = low[many], names[many], sets[many]
-            order = np.argsort(names, kind="stable")
-            key = (np.uint64(bucket) << np.uint64(32)) | low[order].astype(np.uint64)
-            names, sets = names[order], sets[order].astype(np.uint32)
-            borders = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1], [True]])) if len(names) else np.zeros(1, int)
-            for at in range(0, len(borders) - 1, 4096):
-                some = borders[at : at + 4097]
-                spans = list(zip(some[:-1], some[1:]))
+            low, names, sets = low[many], names[many], sets[many].astype(np.uint32)
+            piece = mixed(names.view(np.uint64)) % np.uint64(n_slices)
+            order = np.lexsort((names, piece))
+            low, names, sets, piece = low[order], names[order], sets[order], piece[order]
+            borders = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1], [True]])) if len(names) else []
+            out = []
+            for a, b in zip(borders[:-1], borders[1:]):
+                who, count = np.unique(names[a:b], return_counts=True)
+                key = (np.uint64(bucket) << np.uint64(32)) | low[a:b].astype(np.uint64)
+                out.append((int(piece[a]), who.tobytes(), count.astype(np.uint32).tobytes(), key.tobytes(), sets[a:b].tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in out], pa.int32()), *(pa.array([r[k] for r in out], pa.binary()) for k in (1, 2, 3, 4))],
+                ["slice", "names", "counts", "keys", "sets"],
+            )
+
+    def by_slice(batches):
+        for _, rows in _gathered(batches):
+            names, counts, key, sets = (
+                np.concatenate([np.frombuffer(r[k], kind) for r in rows]) for k, kind in enumerate((np.int64, np.uint32, np.uint64, np.uint32))
+            )
+            rows.clear()
+            names = np.repeat(names, counts)
+            order = np.lexsort((key, sets, names))  # of a set, the rarest come first
+            names, key, sets = names[order], key[order], sets[order]
+            borders = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1], [True]]))
+            for at in range(0, len(borders) - 1, 2048):
+                some = borders[at : at + 2049]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(names[some[:-1]]),
                         pa.array(np.diff(some).astype(np.int32)),
-                        pa.array([key[a:b].tobytes() for a, b in spans], pa.binary()),
-                        pa.array([sets[a:b].tobytes() for a, b in spans], pa.binary()),
+                        pa.array([key[a:b].tobytes() for a, b in zip(some[:-1], some[1:])], pa.binary()),
                     ],
-                    ["name", "n_shared", "keys", "sets"],
+                    ["name", "n_shared", "keys"],
                 )
 
-    return packed.repartitionById(n_buckets, "bucket").mapInArrow(run, "name bigint, n_shared int, keys binary, sets binary")
+    found = packed.repartitionById(n_buckets, "bucket").mapInArrow(
+        by_bucket, "slice int, names binary, counts binary, keys binary, sets binary"
+    )
+    return found.repartitionById(n_slices, "slice").mapInArrow(by_slice, "name bigint, n_shared int, keys binary")
+
+
+def _gathered(batches):
+    """(number, rows without it) for each number in the first column of a partition."""
+    groups: dict[int, list[tuple]] = {}
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns)):
+            groups.setdefault(row[0], []).append(row[1:])
+    while groups:
+        yield groups.popitem()
 
 
 def _rarest(units: DataFrame) -> DataFrame:
@@ -253,18 +286,15 @@ def _rarest(units: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             out_key, out_name, out_n = [], [], []
-            for name, n, own, keys, sets in zip(*(column.to_pylist() for column in batch.columns)):
-                key = np.concatenate([np.frombuffer(k, np.uint64) for k in keys])
-                many = np.concatenate([np.frombuffer(s, np.uint32) for s in sets])
-                take = may_differ(n) + 1 - own
-                kept = key[np.lexsort((key, many))[:take]]
+            for name, n, own, keys in zip(*(column.to_pylist() for column in batch.columns)):
+                kept = np.frombuffer(keys, np.uint64)[: may_differ(n) + 1 - own]
                 out_key.append(kept.astype(np.int64))
                 out_name.append(np.full(len(kept), name & ~1, dtype=np.int64))
                 out_n.append(np.full(len(kept), n, dtype=np.int64))
             if out_key:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (out_key, out_name, out_n)], ["key", "name", "n"])
 
-    return units.select("name", "n", "own", "keys", "sets").mapInArrow(run, "key bigint, name bigint, n bigint")
+    return units.select("name", "n", "own", "keys").mapInArrow(run, "key bigint, name bigint, n bigint")
 
 
 def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -324,11 +354,10 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
 def _candidates(docs: DataFrame, sets: DataFrame, total: int) -> DataFrame:
     """(key, name, n): the parts that sets keep, as far as at least two sets do."""
     n_buckets = 1 + total // BUCKET_PARTS
-    shared = _shared_parts(_packed_parts(docs, n_buckets), n_buckets)
-    units = shared.groupBy("name").agg(F.sum("n_shared").alias("shared"), F.collect_list("keys").alias("keys"), F.collect_list("sets").alias("sets"))
+    units = _shared_parts(_packed_parts(docs, n_buckets), n_buckets)
     known = sets.select(F.col("name").alias("base"), "n", "e0", "e1")
     units = units.withColumn("base", F.col("name").bitwiseAND(F.lit(-2)))
-    units = units.join(known, "base").withColumn("own", F.when(F.col("name") == F.col("base"), F.col("e0")).otherwise(F.col("e1")) - F.col("shared"))
+    units = units.join(known, "base").withColumn("own", F.when(F.col("name") == F.col("base"), F.col("e0")).otherwise(F.col("e1")) - F.col("n_shared"))
     return _rarest(units.where("own <= n div 3"))
 
 
@@ -346,22 +375,34 @@ def find_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     total = sets.agg(F.sum(F.col("e0") + F.col("e1")).alias("parts")).first()["parts"] or 0
     kept = store(_candidates(docs, sets, total), "jaccard-parts")
     least = store(kept.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("z")).where("a <> z").select("key", "a"), "jaccard-keys")
-    pairs = kept.join(least, "key").where("name <> a").select("a", F.col("name").alias("b")).distinct()
-    first = store(_close(pairs, sets), "jaccard-pairs")
-    links = store(_verified(docs, sets, first), "jaccard-links")
-    labels = store(components(links), "jaccard-components")
-
-    labelled = kept.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
+    stars = kept.join(least, "key").where("name <> a").select("key", "n", "a", F.col("name").alias("b"))
+    tried = links = labels = None
+
+    def round_of(pairs: DataFrame) -> None:
+        """Hold pairs against each other that were not yet; then tell components anew."""
+        nonlocal tried, links, labels
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        near = store(_close(pairs, sets), "jaccard-pairs")
+        found = store(_verified(docs, sets, near), "jaccard-links")
+        tried = near if tried is None else tried.union(near)
+        links = found if links is None else links.union(found)
+        labels = store(components(links), "jaccard-components")
+
+    def component_of(rows: DataFrame, name: str, out: str) -> DataFrame:
+        own = labels.select(F.col("node").alias(name), F.col("component").alias(out))
+        return rows.join(own, name, "left").withColumn(out, F.coalesce(out, name))
+
+    round_of(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    apart = component_of(component_of(stars.select("a", "b").distinct(), "a", "x"), "b", "y").where("x <> y")
+    round_of(store(apart.select("a", "b"), "jaccard-apart"))
+    labelled = component_of(kept, "name", "component")
     split = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     mixed_keys = store(labelled.join(split, "key", "left_semi").select("key", "name", "n", "component"), "jaccard-mixed")
     other = mixed_keys.select("key", F.col("name").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
     across = mixed_keys.join(other, "key").where("name < b and component <> other and 4 * n >= 3 * m and 4 * m >= 3 * n")
-    across = across.select(F.col("name").alias("a"), "b").distinct().join(first, ["a", "b"], "left_anti")
-    second = store(_close(across, sets), "jaccard-pairs")
-    more = store(_verified(docs, sets, second), "jaccard-links")
-    if more.isEmpty():
-        return described, labels, sets
-    return described, store(components(links.union(more)), "jaccard-components"), sets
+    round_of(across.select(F.col("name").alias("a"), "b").distinct())
+    return described, labels, sets
 
 
 def query(docs: DataFrame) -> DataFrame:
