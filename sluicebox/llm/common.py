@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from sluicebox.sources.storage import fresh_folder
+from sluicebox.sources.storage import delete_path, fresh_folder
 
 SLICE_ROWS = 256
 _SHIPPED: set[str] = set()
@@ -90,7 +90,15 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: lineage ends there, and a lost executor costs no recomputation."""
     path = fresh_folder(df.sparkSession, f"llm-{label}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete stored tables that no later step reads."""
+    for df in stored:
+        delete_path(df.sparkSession, df.stored_path)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 30) -> np.ndarray:

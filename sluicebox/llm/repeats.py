@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from sluicebox.llm.common import doc_slices, store
+from sluicebox.llm.common import discard, doc_slices, store
 from sluicebox.llm.jaccard import FACTOR, mixed
 
 LENGTH = 400
@@ -41,7 +41,7 @@ GRAM = 64
 WINDOWS = LENGTH - GRAM + 1
 RUN_BYTES = 48_000_000
 RANGE_BYTES = 16_000_000
-GROUP = 2_000
+GROUP = 50_000  # suffixes of about 600 bytes: 30 MB
 PLACE_BITS = np.uint64(26)
 
 
@@ -263,16 +263,6 @@ def _runs(strings: DataFrame, splitters: list[int]) -> DataFrame:
     return strings.select("content", "before", "size", "string").mapInArrow(run, "range int, run bigint, n int, data binary")
 
 
-def _windows(string: bytes, before: int, width: int, least: int) -> list[tuple[int, bytes]]:
-    """(number, hash) of the windows of a unit that lie at least ``least`` bytes before the anchor or more.
-
-    Window number w begins ``before - w`` bytes before the anchor.
-    """
-    right, left = string[: len(string) - before], string[len(string) - before :][::-1]
-    whole = left + right
-    return [(w, xxhash.xxh3_128_digest(whole[w : w + LENGTH], before - w)) for w in range(min(width, before - least + 1))]
-
-
 def _packed_bits(numbers: list[int]) -> bytes:
     bits = np.zeros(WINDOWS, dtype=np.uint8)
     bits[numbers] = 1
@@ -286,21 +276,27 @@ def _merged(runs: DataFrame, n_ranges: int, group_limit: int) -> DataFrame:
         """Repeated windows of a whole group, or the hashes of the windows of a part of a large group."""
         if len(group) < 2 and not large:
             return [], []
-        seen: dict[bytes, tuple[int, int]] = {}
-        repeated: dict[int, set[int]] = {}
-        rows = []
-        for i, (string, content, before, width, shared) in enumerate(group[:stop]):
+        rows, repeated = [], {}
+        places: dict[int, list[int]] = {}  # members of the group by how far before the anchor they have a window worth a look
+        whole = []
+        for i, (string, _, before, width, shared) in enumerate(group[:stop]):
             following = group[i + 1][4] if i + 1 < len(group) else 0
-            least = LENGTH - max(shared, following)
-            for number, digest in _windows(string, before, width, least):
+            for ahead in range(max(before - width + 1, LENGTH - max(shared, following), 0), before + 1):
+                places.setdefault(ahead, []).append(i)
+            whole.append(string[len(string) - before :][::-1] + string[: len(string) - before])
+        for ahead, members in places.items():
+            seen: dict[bytes, int] = {}
+            for i in members:
+                number = group[i][2] - ahead
+                digest = xxhash.xxh3_128_digest(whole[i][number : number + LENGTH])
                 if large:
-                    rows.append((content, number, digest))
+                    rows.append((group[i][1], number, digest + ahead.to_bytes(2, "big")))
                 elif digest in seen:
                     repeated.setdefault(i, set()).add(number)
                     first = seen[digest]
-                    repeated.setdefault(first[0], set()).add(first[1])
+                    repeated.setdefault(first, set()).add(group[first][2] - ahead)
                 else:
-                    seen[digest] = (i, number)
+                    seen[digest] = i
         return [(group[i][1], _packed_bits(sorted(numbers))) for i, numbers in repeated.items()], rows
 
     def batch_of(found, rows):
@@ -358,7 +354,8 @@ def repeated_windows(docs: DataFrame, group_limit: int = GROUP) -> tuple[DataFra
     contents = store(contents.withColumnsRenamed({"contents": "content", "grams": "gram"}), "repeats-contents")
     release(docs.sparkSession)
     grams = contents.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1").select("gram")
-    wanted = contents.join(store(grams, "repeats-grams"), "gram").select("first.key", "first.place", "content")
+    grams = store(grams, "repeats-grams")
+    wanted = contents.join(grams, "gram").select("first.key", "first.place", "content")
     strings = store(_fetch(docs, wanted), "repeats-strings")
     release(docs.sparkSession)
     size = strings.agg(F.sum(F.length("string")).alias("n")).first()["n"] or 0
@@ -369,7 +366,8 @@ def repeated_windows(docs: DataFrame, group_limit: int = GROUP) -> tuple[DataFra
     direct = merged.where("bits is not null").select("content", "bits")
     counted = merged.where("bits is null")
     twice = counted.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    numbers = counted.join(store(twice, "repeats-windows"), "digest").groupBy("content").agg(F.sort_array(F.collect_set("number")).alias("numbers"))
+    twice = store(twice, "repeats-windows")
+    numbers = counted.join(twice, "digest").groupBy("content").agg(F.sort_array(F.collect_set("number")).alias("numbers"))
 
     def packed(batches):
         for batch in batches:
@@ -379,7 +377,10 @@ def repeated_windows(docs: DataFrame, group_limit: int = GROUP) -> tuple[DataFra
     some = direct.unionByName(numbers.mapInArrow(packed, "content bigint, bits binary"))
     whole = contents.where("n > 1").select("content", F.lit(None).cast("binary").alias("bits"))
     once = some.join(contents.where("n = 1").select("content"), "content", "left_semi")
-    return described, store(once.unionByName(whole), "repeats-verdicts")
+    verdicts = store(once.unionByName(whole), "repeats-verdicts")
+    discard(contents, grams, strings, merged, twice)
+    release(docs.sparkSession)
+    return described, verdicts
 
 
 def release(spark: SparkSession) -> None:
