@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import decontamination, jaccard, language, pieces, private, quality, repeats, rules, tokens, toxicity
+from sluicebox.llm import decontamination, jaccard, language, oracles, pieces, private, quality, repeats, rules, tokens, toxicity
 from sluicebox.llm.common import documents, ship_package
 
 
@@ -88,4 +88,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other queries learn, iterate or use a tokenizer file; their tests hold them against plain Python and the libraries."""
+    return dict(oracles.SQL)

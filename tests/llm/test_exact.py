@@ -352,3 +352,32 @@ def test_patterns_discover_identifiers(ready):
     masked = {r["doc_id"]: r["text"] for r in private.stage(ready.createDataFrame(rows, "doc_id int, text string")).collect()}
     assert masked[40] == "please ask kontakt [ID] today" and masked[41] == rows[31][1]
     assert masked[0] == "some words here kontakt [EMAIL] more words"
+
+
+# --- the same results in SQL
+
+
+@pytest.mark.parametrize("name", ["op1_suffix_dedup", "op2_quality_rules", "op3_decontamination", "op5_jaccard_join"])
+def test_sql_gives_the_same_rows(ready, data, name):
+    from sluicebox.llm import registry
+
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
+    expected = connection.sql(registry.oracle_sql()[name])
+    found = registry.queries()[name](ready, data)
+    assert sorted(found.columns) == sorted(expected.columns)
+    assert by_row(found.select(*expected.columns).collect()) == by_row(expected.fetchall())
+
+
+def test_pipeline_runs_every_stage(ready, data):
+    import corpus_pipeline
+
+    docs = ready.read.parquet(f"{data}/documents.parquet")
+    columns, before = docs.columns, docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(ready, docs, data).cache()
+        assert docs.columns == columns and 0 < docs.count() <= before, name
+        before = docs.count()
+    last = corpus_pipeline.run(ready, data)
+    assert last.count() == before and last.where("not round_trip").count() == 0
