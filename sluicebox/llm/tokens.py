@@ -32,6 +32,8 @@ LIMIT = 2048
 PACK_PAIRS = 1_000_000
 PACK_DOCS = 60_000
 BUCKET_BYTES = 12_000_000
+CACHE_CHUNKS = 300_000
+BLANKS = re.compile("[ \t\n\r]+")
 
 
 class PreTokens:
@@ -44,6 +46,7 @@ class PreTokens:
         self.normalizer, self.pre_tokenizer, self.model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
         added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        self.chunks = _Chunks(self)
         end = "</w>"
         words = (piece[: -len(end)] for piece in tokenizer.get_vocab(with_added_tokens=False) if piece.endswith(end))
         self.single = frozenset(word for word in words if word and self.pieces(word) == 1)
@@ -51,17 +54,37 @@ class PreTokens:
     def pieces(self, pre_token: str) -> int:
         return len(self.model.tokenize(pre_token))
 
-    def count(self, text: str) -> tuple[int, Counter]:
-        """How many special tokens a text holds, and its pre-tokens with their frequencies."""
+    def cut(self, chunk: str) -> tuple[str, ...]:
+        normal = self.normalizer.normalize_str(chunk) if self.normalizer else chunk
+        return tuple(word for word, _ in self.pre_tokenizer.pre_tokenize_str(normal))
+
+    def count(self, text: str) -> tuple[int, dict[str, int]]:
+        """How many special tokens a text holds, and its pre-tokens with their frequencies.
+
+        No pre-token and no normal form reaches over a blank, so each distinct chunk between blanks is cut once.
+        """
         segments = self.special.split(text) if self.special else [text]
-        found: Counter = Counter()
+        found: dict[str, int] = {}
         for segment in segments:
-            if segment:
-                normal = self.normalizer.normalize_str(segment) if self.normalizer else segment
-                found.update([word for word, _ in self.pre_tokenizer.pre_tokenize_str(normal)])
+            for chunk, many in Counter(BLANKS.split(segment)).items():
+                for word in self.chunks[chunk]:
+                    found[word] = found.get(word, 0) + many
+        if len(self.chunks) > CACHE_CHUNKS:
+            self.chunks.clear()
         return len(segments) - 1, found
 
 
+class _Chunks(dict):
+    def __init__(self, source: PreTokens):
+        self.source = source
+
+    def __missing__(self, chunk: str) -> tuple[str, ...]:
+        words = self.source.cut(chunk)
+        if len(chunk) <= 64:
+            self[chunk] = words
+        return words
+
+
 @lru_cache(maxsize=1)
 def _pre_tokens(content: str) -> PreTokens:
     return PreTokens(content)
