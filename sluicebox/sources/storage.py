@@ -29,6 +29,24 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def switch_path(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of another: two renames, with the old folder put back if the second fails."""
+    fs, target = filesystem_path(spark, path)
+    _, source = filesystem_path(spark, new)
+    _, aside = filesystem_path(spark, f"{path.rstrip('/')}__old-{uuid.uuid4().hex}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"Cannot move {path} aside")
+    if not had:
+        fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        if had:
+            fs.rename(aside, target)
+        raise OSError(f"Cannot move {new} to {path}")
+    if had:
+        fs.delete(aside, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     if not path_exists(spark, path):
         return []
@@ -65,14 +83,26 @@ def write_counted(
     partition_by: tuple[str, ...] = (),
     **counts: Column,
 ) -> dict[str, int]:
-    """Write a table and return its row count, and further counts, from that same single pass."""
+    """Write a table and return its row count, and further counts, from that same single pass.
+
+    A file table is overwritten beside itself and then switched: a write that fails leaves the old table as it was, and
+    readers never see a part of the new one. ``fmt="delta"`` does this by its own log.
+    """
     seen = Observation(f"write-{uuid.uuid4()}")
     measures = {"rows": F.count(F.lit(1)), **counts}
     observed = df.observe(seen, *[measure.alias(name) for name, measure in measures.items()])
     writer = observed.write.format(fmt).mode(mode).partitionBy(*partition_by)
-    if mode == "overwrite":
-        writer = writer.option("overwriteSchema", "true")
-    writer.save(path)
+    if mode == "overwrite" and fmt == "delta":
+        writer.option("overwriteSchema", "true").save(path)
+    elif mode == "overwrite":
+        side = f"{path.rstrip('/')}__next-{uuid.uuid4().hex}"
+        try:
+            writer.save(side)
+            switch_path(df.sparkSession, side, path)
+        finally:
+            delete_path(df.sparkSession, side)
+    else:
+        writer.save(path)
     return {name: int(value or 0) for name, value in seen.get.items()}
 
 

@@ -259,3 +259,18 @@ def test_contract_violations_are_counted(spark):
     assert got == {
         "not_null:product_name": 1, "not_null:stock_quantity": 1, "max_length:inventory_status": 1, "unique:product_id": 1,
     }
+
+
+def test_a_failed_overwrite_keeps_the_old_table(spark, folder):
+    import os
+
+    from sluicebox.sources.storage import read_table, write_counted
+
+    path = f"{folder}/gold/table"
+    assert write_counted(spark.range(10), path, "overwrite")["rows"] == 10
+    broken = spark.range(0, 1000, 1, 8).select(F.when(F.col("id") > 900, F.raise_error(F.lit("half-way"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="half-way"):
+        write_counted(broken, path, "overwrite")
+    assert sorted(r.id for r in read_table(spark, path).collect()) == list(range(10))
+    assert write_counted(spark.range(3), path, "overwrite")["rows"] == 3
+    assert read_table(spark, path).count() == 3 and os.listdir(f"{folder}/gold") == ["table"]
