@@ -21,6 +21,7 @@ from sluicebox.functions.numbers import sum_of_parts
 from sluicebox.operators.keys import with_position
 from sluicebox.plans.gold import product_days
 from sluicebox.sources.storage import (
+    Staging,
     child_names,
     ensure_checkpoint_folder,
     path_exists,
@@ -111,8 +112,13 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
 
 def features_from_silver(spark: SparkSession, silver_root: str, fmt: str = "parquet") -> DataFrame:
     silver = read_tables(spark, silver_root, ("orders", "order_items", "products"), fmt)
-    daily = daily_product_sales(silver["orders"], silver["order_items"], silver["products"])
-    return add_features(require_rows(daily, "There are no sales to build features from."))
+    return add_features(daily_product_sales(silver["orders"], silver["order_items"], silver["products"]))
+
+
+def stored_features(spark: SparkSession, stage: Staging, silver_root: str, fmt: str = "parquet") -> DataFrame:
+    """Features written once, before anything is asked of them: the joins behind them run a single time."""
+    features = stage.store(features_from_silver(spark, silver_root, fmt), "features")
+    return require_rows(features, "There are no sales to build features from.")
 
 
 def time_split(features: DataFrame, test_days: int = TEST_DAYS) -> tuple[DataFrame, DataFrame]:
@@ -350,7 +356,7 @@ def train_from_silver(
 ) -> dict:
     """Train on stored features: the many passes over them start from a table, not from the joins behind it."""
     with staging(spark, "train") as stage:
-        features = stage.store(features_from_silver(spark, silver_root, fmt), "features")
+        features = stored_features(spark, stage, silver_root, fmt)
         model, metrics = train_and_evaluate(features, test_days, **settings)
         version = store.save_model(model, metrics)
     return {"version": version, **metrics}
@@ -364,5 +370,5 @@ def predict_from_silver(
     fmt: str = "parquet",
 ) -> str:
     with staging(spark, "predict") as stage:
-        features = stage.store(features_from_silver(spark, silver_root, fmt), "features")
+        features = stored_features(spark, stage, silver_root, fmt)
         return store.save_table(predict(store.load_model(), features, horizon_days), "predictions")

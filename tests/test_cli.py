@@ -32,6 +32,12 @@ def test_whole_chain_from_csv_to_forecast(spark, data, folder):
     (version,) = command("predict", "--horizon-days", "3")
     rows = spark.read.option("header", "true").csv(f"{folder}/models/predictions/{version}")
     assert rows.count() % 3 == 0 and rows.count() > 0
+    assert {r["result"] for r in command("kpi", "--limit", "5")} >= {"overview_kpis", "daily_sales", "product_performance", "customer_segments"}
+    report = command("check")
+    assert report and all(r["rule"].startswith("flag:") and r["violations"] > 0 for r in report)
+    assert len(command("query", "--sql", "SELECT customer_id FROM customer_360 ORDER BY lifetime_value DESC")) <= 100
+    with pytest.raises(ValueError, match="not approved"):
+        command("query", "--sql", "SELECT * FROM users")
     assert read_table(spark, f"{folder}/gold/customer_360").count() == built["customer_360"]
 
 
