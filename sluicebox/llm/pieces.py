@@ -32,7 +32,8 @@ from pyspark.sql.types import BooleanType, LongType, StringType
 from sluicebox.llm.common import doc_slices
 
 SPACE = "▁"
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 100_000
+CACHE_PAIRS = 250_000
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNKNOWN_PENALTY = 10.0
@@ -152,7 +153,7 @@ class PieceModel:
         It does not if, at the moment a piece across the border would be merged, both its halves already stand there and
         neither has been taken up by its own side yet.
         """
-        if len(self.beside) > 2_000_000:
+        if len(self.beside) > CACHE_PAIRS:
             self.beside.clear()
         ends, begins = self._spines(left)[1], self._spines(right)[0]
         if ends is None or begins is None:
@@ -224,7 +225,7 @@ class _Segments(dict):
 
 @lru_cache(maxsize=1)
 def _model(content: bytes) -> PieceModel:
-    """One model, with its caches, per Python worker."""
+    """One model per Python worker."""
     return PieceModel(content)
 
 
@@ -252,6 +253,7 @@ def encode(docs: DataFrame, content: bytes) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column(part.schema.get_field_index("doc_id")), pa.array(sizes), ids, pa.array(same)], schema.names
             )
+        model.segments.clear()  # the model outlives the task in its Python worker, what it has read should not
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

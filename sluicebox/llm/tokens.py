@@ -32,7 +32,7 @@ LIMIT = 2048
 PACK_PAIRS = 1_000_000
 PACK_DOCS = 60_000
 BUCKET_BYTES = 12_000_000
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 100_000
 BLANKS = re.compile("[ \t\n\r]+")
 
 
@@ -138,6 +138,7 @@ def _packs(docs: DataFrame, content: str, n_buckets: int, schema: StructType) ->
                 held = 0
         if sizes:
             yield from flush()
+        source.chunks.clear()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

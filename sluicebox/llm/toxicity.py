@@ -26,7 +26,7 @@ FIT_ROWS = 8_000
 MIN_CONTEXTS = 5
 MIN_ODDS = 15.0
 WINDOW_WORDS = 6
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 THRESHOLD = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 QUOTES = frozenset("\"'“”„«»‘’‹›")
