@@ -39,7 +39,8 @@ kept AS (SELECT doc_id, count(*) AS n, count(*) FILTER (right(rtrim(line, ' '),
          FROM each
          WHERE len(regexp_extract_all(line, '{rules.SEPARATORS}')) < 2 AND regexp_matches(line, '\p{{L}}')
            AND NOT (length(line) < {rules.MAX_FURNITURE_CHARS} AND regexp_matches(lower(line), '{rules.BOILERPLATE}'))
-           AND 100 * len(regexp_extract_all(line, '[0-9#*$%&|<>{{}}=~^_@+/\\]')) <= {rules.MAX_SYMBOL_PERCENT} * length(line)
+           AND 100 * len(regexp_extract_all(line, '{rules.SYMBOLS}')) <= {rules.MAX_SYMBOL_PERCENT} * length(line)
+           AND 100 * len(regexp_extract_all(line, '[0-9]')) <= {rules.MAX_DIGIT_PERCENT} * length(line)
          GROUP BY doc_id),
 figures AS (
   SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
@@ -50,7 +51,7 @@ figures AS (
   FROM d JOIN w USING (doc_id) JOIN lines USING (doc_id) LEFT JOIN again USING (doc_id) LEFT JOIN kept USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_kept_words,
        NOT base_failed AND 100 * (n_words - n_kept_words) <= {rules.MAX_LOST_PERCENT} * n_words
-       AND 100 * prose >= {rules.MIN_PROSE_PERCENT} * n AS kept
+       AND (n < {rules.PROSE_LINES} OR 100 * prose >= {rules.MIN_PROSE_PERCENT} * n) AS kept
 FROM figures
 """
 

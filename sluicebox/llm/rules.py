@@ -1,8 +1,8 @@
 """Quality rules: lines are judged first, then texts by how much of them is left. DataFrame functions only.
 
 A line with words fails if it is navigation (short parts between bars or arrows), boilerplate (fixed phrases), without any
-letter, mostly symbols or digits, or a repetition of an earlier line. Lines that fail are removed; a text stays if its
-words pass the base figures, enough of its words are left, and enough of the lines left end like sentences.
+letter, rich in symbols, mostly digits, or a repetition of an earlier line. Lines that fail are removed; a text stays if its
+words pass the base figures, enough of its words are left, and enough of the lines left, if these are not few, end like sentences.
 
 Defined results: null counts as empty text; texts without words fail the base figures; blank lines are kept out of all
 line figures; repeated rows get equal results. Only doc_id and text are read, so other columns may have any name.
@@ -19,8 +19,11 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MAX_LOST_PERCENT = 50
-MAX_SYMBOL_PERCENT = 20
+MAX_SYMBOL_PERCENT = 10
+MAX_DIGIT_PERCENT = 50
 MIN_PROSE_PERCENT = 10
+PROSE_LINES = 3  # fewer lines say nothing about how a text's lines end
+SYMBOLS = r"[#*$%&|<>{}=~^_@+/\\]"
 MAX_FURNITURE_CHARS = 200
 #: Phrases of page furniture.
 BOILERPLATE = (
@@ -92,9 +95,10 @@ def base_figures(docs: DataFrame) -> DataFrame:
 
 
 def line_fails(line: Column) -> Column:
-    """Whether a line with words is navigation, boilerplate, letterless, or mostly symbols and digits."""
+    """Whether a line with words is navigation, boilerplate, letterless, rich in symbols or mostly digits."""
     furniture = (F.char_length(line) < MAX_FURNITURE_CHARS) & F.lower(line).rlike(BOILERPLATE)
-    odd = 100 * _count(line, r"[0-9#*$%&|<>{}=~^_@+/\\]") > MAX_SYMBOL_PERCENT * F.char_length(line)
+    odd = 100 * _count(line, SYMBOLS) > MAX_SYMBOL_PERCENT * F.char_length(line)
+    odd = odd | (100 * _count(line, "[0-9]") > MAX_DIGIT_PERCENT * F.char_length(line))
     return (_count(line, SEPARATORS) >= 2) | ~line.rlike(r"\p{L}") | furniture | odd
 
 
@@ -107,7 +111,8 @@ def clean(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("n_kept_words", F.when(whole, F.col("n_words")).otherwise(_size(words_of(F.col("clean_text")))))
     prose = _size(F.filter("kept_lines", lambda line: F.substring(F.rtrim(line), -1, 1).isin(*SENTENCE_ENDS)))
     enough = 100 * (F.col("n_words") - F.col("n_kept_words")) <= MAX_LOST_PERCENT * F.col("n_words")
-    verdict = ~F.col("base_failed") & enough & (100 * prose >= MIN_PROSE_PERCENT * F.size("kept_lines"))
+    few = F.size("kept_lines") < PROSE_LINES
+    verdict = ~F.col("base_failed") & enough & (few | (100 * prose >= MIN_PROSE_PERCENT * F.size("kept_lines")))
     return rows.withColumn("kept", verdict).drop("lines")
 
 
