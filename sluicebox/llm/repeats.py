@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,9 @@ GRAM = 64
 WINDOWS = LENGTH - GRAM + 1
 RUN_BYTES = 48_000_000
 RANGE_BYTES = 16_000_000
-GROUP = 50_000  # suffixes of about 600 bytes: 30 MB
+GROUP = 1_000_000  # windows of a group that one task compares
+GROUP_BYTES = 32_000_000  # and bytes of its suffixes
+BATCH_ROWS = 20_000
 PLACE_BITS = np.uint64(26)
 
 
@@ -272,63 +275,77 @@ def _packed_bits(numbers: list[int]) -> bytes:
 def _merged(runs: DataFrame, n_ranges: int, group_limit: int) -> DataFrame:
     """Rows with bits: content and its repeated windows. Rows with a hash: a window of a large group, not judged yet."""
 
-    def judge(group: list[tuple], large: bool, stop: int | None = None) -> tuple[list, list]:
-        """Repeated windows of a whole group, or the hashes of the windows of a part of a large group."""
-        if len(group) < 2 and not large:
-            return [], []
-        rows, repeated = [], {}
-        places: dict[int, list[int]] = {}  # members of the group by how far before the anchor they have a window worth a look
-        whole = []
-        for i, (string, _, before, width, shared) in enumerate(group[:stop]):
-            following = group[i + 1][4] if i + 1 < len(group) else 0
-            for ahead in range(max(before - width + 1, LENGTH - max(shared, following), 0), before + 1):
+    def members(runs):
+        """(whether a group begins, unit, content, bytes before the anchor, distances from the anchor of the windows worth a look)."""
+
+        def member(following):
+            string, content, before, width, shared = last
+            aheads = range(max(before - width + 1, LENGTH - max(shared, following), 0), before + 1)
+            unit = string[len(string) - before :][::-1] + string[: len(string) - before]
+            return not shared, unit, content, before, aheads
+
+        last = None
+        for run, shared in LoserTree(runs):
+            shared = shared if shared >= GRAM else 0
+            if last is not None:
+                yield member(shared)
+            last = (run.string, *run.payload[run.at], shared)
+        if last is not None:
+            yield member(0)
+
+    def digest(unit: bytes, number: int) -> bytes:
+        return xxhash.xxh3_128_digest(unit[number : number + LENGTH])
+
+    def judged(group: list[tuple]):
+        """Repeated windows of a whole group."""
+        places: dict[int, list[int]] = {}  # members of the group by how far before the anchor they have a window
+        for i, member in enumerate(group):
+            for ahead in member[3]:
                 places.setdefault(ahead, []).append(i)
-            whole.append(string[len(string) - before :][::-1] + string[: len(string) - before])
-        for ahead, members in places.items():
+        repeated: dict[int, bytearray] = {}
+        for ahead, some in places.items():
             seen: dict[bytes, int] = {}
-            for i in members:
-                number = group[i][2] - ahead
-                digest = xxhash.xxh3_128_digest(whole[i][number : number + LENGTH])
-                if large:
-                    rows.append((group[i][1], number, digest + ahead.to_bytes(2, "big")))
-                elif digest in seen:
-                    repeated.setdefault(i, set()).add(number)
-                    first = seen[digest]
-                    repeated.setdefault(first, set()).add(group[first][2] - ahead)
-                else:
-                    seen[digest] = i
-        return [(group[i][1], _packed_bits(sorted(numbers))) for i, numbers in repeated.items()], rows
-
-    def batch_of(found, rows):
-        contents = [f[0] for f in found] + [r[0] for r in rows]
-        bits = [f[1] for f in found] + [None] * len(rows)
-        numbers = [None] * len(found) + [r[1] for r in rows]
-        digests = [None] * len(found) + [r[2] for r in rows]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(contents, pa.int64()), pa.array(bits, pa.binary()), pa.array(numbers, pa.int32()), pa.array(digests, pa.binary())],
-            ["content", "bits", "number", "digest"],
-        )
+            for i in some:
+                unit, _, before, _ = group[i]
+                first = seen.setdefault(digest(unit, before - ahead), i)
+                if first != i:
+                    repeated.setdefault(i, bytearray(WINDOWS))[before - ahead] = 1
+                    repeated.setdefault(first, bytearray(WINDOWS))[group[first][2] - ahead] = 1
+        for i, bits in repeated.items():
+            yield group[i][1], np.packbits(np.frombuffer(bits, np.uint8)).tobytes(), None, None
+
+    def hashed(unit: bytes, content: int, before: int, aheads: range):
+        """The windows of a member of a large group."""
+        for ahead in aheads:
+            yield content, None, before - ahead, digest(unit, before - ahead) + ahead.to_bytes(2, "big")
 
     def merge(runs):
+        """A group above the limits is not held: what is there goes on as hashes, and so does each further member."""
         group: list[tuple] = []
+        windows = size = 0
         large = False
-        found, rows = [], []
-        for run, shared in LoserTree(runs):
-            if shared < GRAM and group:
-                a, b = judge(group, large)
-                found += a
-                rows += b
-                group, large = [], False
-            group.append((run.string, *run.payload[run.at], shared if shared >= GRAM else 0))
-            if len(group) > group_limit:  # all but the last go on as hashes; the last needs to know its follower
-                large = True
-                rows += judge(group, large, len(group) - 1)[1]
-                group = group[-1:]
-            if len(found) + len(rows) > 20_000:
-                yield batch_of(found, rows)
-                found, rows = [], []
-        a, b = judge(group, large)
-        yield batch_of(found + a, rows + b)
+        for begins, *member in members(runs):
+            if begins:
+                yield from judged(group)
+                group, windows, size, large = [], 0, 0, False
+            if large:
+                yield from hashed(*member)
+            elif member[3]:
+                group.append(member)
+                windows += len(member[3])
+                size += len(member[0])
+                if windows > group_limit or size > GROUP_BYTES:
+                    large = True
+                    for one in group:
+                        yield from hashed(*one)
+                    group = []
+        yield from judged(group)
+
+    def batched(rows):
+        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
+        while some := list(islice(rows, BATCH_ROWS)):
+            columns = [pa.array(column, kind) for column, kind in zip(zip(*some), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["content", "bits", "number", "digest"])
 
     def run(batches):
         ranges: dict[int, list[Run]] = {}
@@ -340,7 +357,7 @@ def _merged(runs: DataFrame, n_ranges: int, group_limit: int) -> DataFrame:
                     Run(np.frombuffer(data, np.uint32, n), np.frombuffer(data, np.uint32, n, 4 * n), data[32 * n :], payload)
                 )
         for part in sorted(ranges):
-            yield from merge(ranges.pop(part))
+            yield from batched(merge(ranges.pop(part)))
 
     return runs.repartitionById(n_ranges, "range").mapInArrow(run, "content bigint, bits binary, number int, digest binary")
 

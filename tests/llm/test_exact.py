@@ -7,6 +7,7 @@ import re
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from sluicebox.llm import decontamination, graph, jaccard, pieces, private, repeats, rules, tokens
@@ -59,6 +60,38 @@ def test_kept_text_is_what_the_digest_says(awkward):
         assert hashlib.sha256(row["kept_text"].encode()).hexdigest() == row["kept_sha256"]
 
 
+def test_large_groups_go_on_in_small_batches():
+    dice = np.random.default_rng(8)
+    passage = bytes(dice.integers(97, 123, 380))
+    # all windows that hold the passage: 20 distances from the anchor, the first two documents have equal ones
+    left = [bytes(dice.integers(97, 123, 300)) for _ in range(3000)]
+    left[1] = left[0]
+    strings = sorted((passage + bytes([97 + i % 20]) * 20 + own, i, 300, 301) for i, own in enumerate(left))
+
+    class Taken:
+        def repartitionById(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    def merged(limit):
+        shared, lengths, rest = repeats.front_coded([s[0] for s in strings])
+        data = shared.astype(np.uint32).tobytes() + lengths.tobytes() + np.array([s[1:] for s in strings], np.int64).tobytes() + rest
+        packed = repeats.zstandard.ZstdCompressor().compress(data)
+        columns = {"range": [0], "run": [0], "n": [len(strings)], "data": [packed]}
+        batches = list(repeats._merged(Taken(), 1, limit)([pa.RecordBatch.from_pydict(columns)]))
+        assert max(b.num_rows for b in batches) <= 20_000
+        return pa.Table.from_batches(batches).to_pylist()
+
+    rows = merged(100_000)
+    windows = collections.Counter(r["digest"] for r in rows)
+    assert len(rows) > 100_000 and all(r["bits"] is None for r in rows)
+    digests = {(r["content"], r["number"]) for r in rows if windows[r["digest"]] > 1}
+    small = {r["content"]: np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in merged(10_000_000)}
+    assert digests == {(content, int(number)) for content, bits in small.items() for number in np.flatnonzero(bits)} != set()
+
+
 def test_loser_tree_merges_front_coded_runs():
     dice = np.random.default_rng(3)
     for _ in range(200):
