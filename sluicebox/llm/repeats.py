@@ -46,6 +46,7 @@ GROUP = 1_000_000  # windows of a group that one task compares
 GROUP_BYTES = 32_000_000  # and bytes of its suffixes
 BATCH_ROWS = 20_000
 PLACE_BITS = np.uint64(26)
+PIECE = 1 << 22  # window starts; their places fit into PLACE_BITS
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -57,10 +58,8 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(anchors, borders): unit k has the window starts from borders[k] to borders[k + 1] and its anchor at anchors[k]."""
-    if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+def _anchors(data: np.ndarray) -> np.ndarray:
+    """The anchor of each window of at most PIECE + LENGTH - 1 bytes."""
     hashes = gram_hashes(data)
     place = np.arange(len(hashes), dtype=np.uint64)
     least = np.concatenate([(hashes >> PLACE_BITS) << PLACE_BITS | place, np.full(-len(hashes) % WINDOWS, np.iinfo(np.uint64).max, np.uint64)])
@@ -68,9 +67,24 @@ def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     n = len(data) - LENGTH + 1
-    anchor = (np.minimum(back[:n], ahead[WINDOWS - 1 : WINDOWS - 1 + n]) & np.uint64((1 << 26) - 1)).astype(np.int64)
-    borders = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1], [True]]))
-    return anchor[borders[:-1]], borders
+    return (np.minimum(back[:n], ahead[WINDOWS - 1 : WINDOWS - 1 + n]) & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
+
+
+def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(anchors, borders): unit k has the window starts from borders[k] to borders[k + 1] and its anchor at anchors[k].
+
+    Long texts are taken in pieces of PIECE window starts, with places counted in each, so any length is right.
+    """
+    n = max(0, len(data) - LENGTH + 1)
+    anchors, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, n, PIECE):
+        anchor = _anchors(data[at : at + PIECE + LENGTH - 1])
+        first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        anchors.append(anchor[first] + at)
+        starts.append(first + at)
+    anchors, starts = np.concatenate(anchors), np.concatenate(starts)
+    fresh = np.concatenate([[True], anchors[1:] != anchors[:-1]])[: len(anchors)]  # a unit may lie across two pieces
+    return anchors[fresh], np.concatenate([starts[fresh], [n]])
 
 
 def _signed(number: int) -> int:

@@ -115,6 +115,19 @@ def test_every_window_has_one_unit_and_its_anchor():
     assert borders[0] == 0 and borders[-1] == len(data) - repeats.LENGTH + 1
 
 
+@pytest.mark.parametrize("size, piece", [(3000, 700), (3000, 1), (399, 700), ((1 << 26) + 3000, None)])
+def test_units_of_texts_in_pieces(size, piece, monkeypatch):
+    data = np.random.default_rng(2).integers(0, 3, size, dtype=np.uint8)
+    whole = repeats.units(data) if piece else None
+    if piece:
+        monkeypatch.setattr(repeats, "PIECE", piece)
+    anchors, borders = repeats.units(data)
+    if whole:
+        assert np.array_equal(anchors, whole[0]) and np.array_equal(borders, whole[1])
+    assert borders[-1] == max(0, size - repeats.LENGTH + 1)
+    assert (anchors >= borders[1:] - 1).all() and (anchors < borders[:-1] + repeats.WINDOWS).all()
+
+
 # --- op2
 
 
