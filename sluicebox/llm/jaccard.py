@@ -27,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicebox.llm.common import doc_slices, map_texts, store
@@ -417,10 +417,36 @@ def query(docs: DataFrame) -> DataFrame:
     return linked_rows.unionByName(rows.where("name is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
+def _verdicts(docs: DataFrame) -> DataFrame:
+    """(_id, _hash, _first, _copies): whether rows of this id and text are the first of their component, and how many they are.
+
+    The first of a component has the smallest id, then the smallest text hash; null ids come last. Rows without shingles,
+    and single rows that are first, are not in the result.
+    """
+    described, labels, _ = find_components(docs)
+    known = described.where("name is not null")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    named = known.groupBy("name").agg(F.min(place).alias("best")).join(labels.withColumnRenamed("node", "name"), "name", "left")
+    named = named.withColumn("component", F.coalesce("component", "name"))
+    least = named.groupBy("component").agg(F.min("best").alias("first"))
+    of_set = store(named.join(least, "component").select("name", "first"), "jaccard-first")
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    rows = known.join(of_set, "name").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), is_first.alias("_first"))
+    judged = rows.groupBy("_id", "_hash").agg(F.min("_first").alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    return store(judged.where("not _first or _copies > 1"), "jaccard-verdicts")
+
+
 def stage(docs: DataFrame) -> DataFrame:
-    """All columns of the documents that stay: of each component the document with the smallest id.
+    """All columns of one document per component: the smallest id, then the smallest text hash; null ids come last.
 
-    Documents without shingles, and those with a null id, stay.
+    Of rows repeated with id and text, one stays, chosen by a hash of the other columns. Documents without shingles stay.
     """
-    gone = store(query(docs).where("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    verdicts = _verdicts(docs)
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    single = docs.join(verdicts, same, "left_anti")
+    again = store(verdicts.where("_first").select("_id", "_hash"), "jaccard-again")
+    other = [f.name for f in docs.schema if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()]
+    order = F.xxhash64(*(docs[name] for name in other)) if other else F.lit(0)
+    each = Window.partitionBy("_id", "_hash").orderBy("_order")
+    repeated = docs.join(again, same).withColumn("_order", order).withColumn("_nth", F.row_number().over(each)).where("_nth = 1")
+    return single.unionByName(repeated.select(*(docs[name] for name in docs.columns)))

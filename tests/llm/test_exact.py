@@ -315,6 +315,26 @@ def test_chains_and_hot_passages(ready):
     assert sorted(r["doc_id"] for r in jaccard.stage(docs).collect()) == sorted({r[2] for r in plain_components(rows)})
 
 
+def test_stage_keeps_one_row_of_a_component(awkward, awkward_rows, ready):
+    def left(rows, schema="doc_id int, text string, source string"):
+        return by_row(tuple(r) for r in jaccard.stage(ready.createDataFrame(rows, schema).repartition(3)).collect())
+
+    blank = [r for r in awkward_rows if not shingle_set(r[1])]
+    sets = [(r[0], shingle_set(r[1])) for r in awkward_rows]
+    kept = jaccard.stage(awkward)
+    assert kept.columns == awkward.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    firsts = {r[2] for r in plain_components([(r[0], r[1]) for r in awkward_rows if shingle_set(r[1])])}
+    assert sorted(i for i in ids if i is not None) == sorted([r[0] for r in blank if r[0] is not None] + list(firsts))
+    assert ids.count(4) == 1 and ids.count(None) == 1 and len(sets) > len(ids)  # the null id that stays has no text
+
+    a, b, c = (" ".join(f"{letter}{k}" for k in range(30)) for letter in "abc")
+    assert left([(5, a, "x")] * 6) == [(5, a, "x")]
+    assert left([(2, a, "x"), (2, b, "x"), (1, a, "x")]) == [(1, a, "x"), (2, b, "x")]
+    assert left([(None, c, "x")] * 4 + [(None, a, "x"), (3, a, "x"), (None, None, "x")]) == by_row([(None, c, "x"), (3, a, "x"), (None, None, "x")])
+    assert len(left([(7, a, "x"), (7, a, "y"), (7, a, None)])) == 1
+
+
 def test_sketches_bound_the_difference():
     dice = np.random.default_rng(2)
     for n in (3, 40, 300, 2000, 9000):
