@@ -1,8 +1,8 @@
-"""DuckDB SQL for the operators that SQL can express, on the tables documents and benchmark."""
+"""DuckDB SQL for the operators that SQL can express, on the given tables."""
 
 from __future__ import annotations
 
-from sluicebox.llm import decontamination, repeats, rules
+from sluicebox.llm import decontamination, removal, repeats, rules
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -82,4 +82,95 @@ SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM w LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)
 """
 
-SQL = {"op1_suffix_dedup": OP1, "op2_quality_rules": OP2, "op3_decontamination": OP3, "op5_jaccard_join": OP5}
+OP12 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_SPACE_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+marks AS (SELECT doc_id, bool_or(coalesce(quality = 1, FALSE)) AS good, bool_or(coalesce(toxic = 1, FALSE)) AS bad FROM labels GROUP BY doc_id),
+fails AS (SELECT part, len(ws) < {removal.MIN_WORDS} AS a, 100 * len(list_distinct(ws)) < {removal.MIN_DISTINCT_PERCENT} * len(ws) AS b,
+                 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {removal.MAX_CAPITAL_PERCENT} * length(t) AS c,
+                 regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), FALSE) AS e,
+                 coalesce(good, FALSE) AS good, coalesce(bad, FALSE) AS bad
+          FROM d LEFT JOIN marks USING (doc_id)),
+masks AS (SELECT part, good, bad, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+                 || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS mask, count(*) AS n FROM fails GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT p.f || q.f || r.f || s.f || t.f AS o FROM letters p, letters q, letters r, letters s, letters t
+           WHERE len(list_distinct([p.f, q.f, r.f, s.f, t.f])) = 5),
+leaves AS (SELECT m.*, o, CASE WHEN mask <> '' THEN list_min(list_transform(string_split(mask, ''), lambda f: instr(o, f))) END AS leave FROM masks m, orders),
+table_ AS (SELECT part, o, CAST(step AS INTEGER) AS step, substr(o, step, 1) AS f,
+                  CAST(sum(n) FILTER (leave IS NULL OR leave > step) AS BIGINT) AS kept, CAST(sum(n) FILTER (leave = step) AS BIGINT) AS removed,
+                  CAST(sum(n) FILTER (leave < step AND contains(mask, substr(o, step, 1))) AS BIGINT) AS redundant,
+                  CAST(sum(n) FILTER (mask = substr(o, step, 1)) AS BIGINT) AS alone,
+                  CAST(sum(n) FILTER (leave = step AND good) AS BIGINT) AS good_lost, CAST(sum(n) FILTER (leave = step AND bad) AS BIGINT) AS toxic_lost
+           FROM leaves, range(1, 6) AS r(step) GROUP BY ALL)
+SELECT part, o AS filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed, coalesce(redundant, 0) AS redundant,
+       coalesce(alone, 0) AS unique_fails, coalesce(good_lost, 0) AS good_lost, coalesce(toxic_lost, 0) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM table_
+"""
+
+_NONE = 1_000_000_000_000
+
+
+def _longer(value: str, cost: str, letter: str, line: str) -> str:
+    return f"{{'c': {value}.c + {cost}, 'a': {value}.a || '{letter}', 'r': {value}.r || {line}}}"
+
+
+def _insert(value: str, role: str) -> str:
+    return _longer(value, "5", "I", f"'{role}:' || chr(10)")
+
+
+#: The best (cost, audit, repaired text) per state, with inserts in front of the next row.
+_OPEN = f"""[v[1], v[2], list_min([v[3], {_insert("v[1]", "user")}, {_insert("v[2]", "user")}, {_insert("v[4]", "user")}]),
+             list_min([v[4], {_insert("v[3]", "assistant")}, {_insert(_insert("v[1]", "user"), "assistant")}, {_insert(_insert("v[2]", "user"), "assistant")}])]"""
+
+
+def _edit(value: str, kind: str) -> str:
+    if kind == "D":
+        return _longer(value, "2", "D", "''")
+    own, role = ("role", f"CASE WHEN initial = '{kind[1]}' THEN stay ELSE {_NONE} END") if kind[0] == "K" else (f"'{kind[1:]}'", "stay + 1")
+    return _longer(value, role, kind[0], f"{own} || ':' || text || chr(10)")
+
+
+_READ = f"""[{_edit("w[1]", "D")}, list_min([{_edit("w[2]", "D")}, {_edit("w[1]", "Ks")}]),
+  list_min([{_edit("w[3]", "D")}, {", ".join(_edit(f"w[{k}]", kind) for k in (1, 2, 4) for kind in ("Ku", "Ruser"))}]),
+  list_min([{_edit("w[4]", "D")}, {_edit("w[3]", "Ka")}, {_edit("w[3]", "Rassistant")}])]"""
+
+OP13 = rf"""
+WITH RECURSIVE bits AS (SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t
+                        FROM range(256) AS r(i)),
+known AS (SELECT list(t ORDER BY i) AS t FROM bits),
+named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+drawn AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(name, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                 lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8)), 4294967295) % 20 AS harm FROM named, known),
+harmed AS (SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+                  CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                  unnest(range(CASE harm WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM drawn),
+placed AS (SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+                  lag(role) OVER w AS before, left(role, 1) AS initial, regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS ending
+           FROM harmed WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+judged AS (SELECT *, ending = '' AS blank, ending <> '' AND again AS twice, ending NOT IN ('', '.', '!', '?') AND NOT again AS short FROM placed),
+rows_ AS (SELECT *, CASE WHEN blank OR twice THEN {_NONE} WHEN short THEN 5 ELSE 0 END AS stay FROM judged),
+counted AS (SELECT conv_id, count(*) AS n, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (blank) AS blank,
+                   count(*) FILTER (twice) AS duplicate, count(*) FILTER (short) AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND left(before, 1) || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM rows_ GROUP BY conv_id),
+ways AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, [{{'c': CAST(0 AS BIGINT), 'a': '', 'r': ''}}, {", ".join([f"{{'c': CAST({_NONE} AS BIGINT), 'a': '', 'r': ''}}"] * 3)}] AS v FROM conversations
+         UNION ALL
+         SELECT conv_id, i, {_READ} FROM (SELECT s.conv_id, r.i, role, text, initial, stay, {_OPEN} AS w
+                                          FROM ways s JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i + 1)),
+ends AS (SELECT w.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+                coalesce(illegal, 0) AS illegal, list_min([w[1], w[4]]) AS best
+         FROM (SELECT conv_id, i, {_OPEN} AS w FROM ways) w LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id WHERE i = coalesce(n, 0))
+SELECT conv_id, gaps, blank, duplicate, truncated, illegal, best.c AS cost, best.a AS audit, sha256(best.r[:-2]) AS repaired_sha256 FROM ends
+"""
+
+SQL = {
+    "op1_suffix_dedup": OP1,
+    "op2_quality_rules": OP2,
+    "op3_decontamination": OP3,
+    "op5_jaccard_join": OP5,
+    "op12_filter_audit": OP12,
+    "op13_conversation_repair": OP13,
+}

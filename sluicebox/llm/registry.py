@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import decontamination, jaccard, language, oracles, pieces, private, quality, repeats, rules, tokens, toxicity
+from sluicebox.llm import decontamination, jaccard, language, oracles, pieces, private, quality, removal, repair, repeats, rules, tokens, toxicity
 from sluicebox.llm.common import documents, ship_package
 
 
@@ -61,6 +61,14 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.query(documents(spark, folder), _table(spark, folder, "labels"))
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return removal.query(documents(spark, folder), _table(spark, folder, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.query(_table(spark, folder, "conversations"))
+
+
 QUERIES = (
     op1_suffix_dedup,
     op2_quality_rules,
@@ -72,6 +80,8 @@ QUERIES = (
     op8_language_id,
     op9_toxicity,
     op10_quality_classifier,
+    op12_filter_audit,
+    op13_conversation_repair,
 )
 
 
