@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sluicebox.llm import decontamination, removal, repeats, rules
+from sluicebox.llm import decontamination, removal, repeats, rules, secrets
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -82,6 +82,27 @@ SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM w LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)
 """
 
+
+def _found(rule: secrets.Rule, place: int) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, size, judged,
+       CAST(list_sum(list_transform(gaps[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[:i-1], lambda x: length(x))), 0) AS BIGINT) AS a
+FROM (SELECT doc_id, found, gaps, unnest(range(1, len(found) + 1)) AS i, unnest(list_transform(found, lambda x: length(x))) AS size,
+             unnest(list_transform(regexp_extract_all(text, '{pattern}', {rule.group}), lambda x: length(x))) AS judged
+      FROM (SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS found, string_split_regex(text, '{pattern}') AS gaps
+            FROM documents WHERE regexp_matches(text, '{pattern}')))
+WHERE judged >= {rule.least}"""
+
+
+_SPANS = "coalesce(string_agg(kind || ':' || a || ':' || (a + size), ',' ORDER BY a, place) FILTER ({}), '')"
+
+OP11 = f"""
+WITH found AS ({" UNION ALL ".join(_found(rule, k) for k, rule in enumerate(secrets.RULES))})
+SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in secrets.BASE)},
+       sha256({_SPANS.format(f"place < {len(secrets.BASE)}")}) AS base_sha256, {_SPANS.format("place >= 0")} AS spans
+FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id
+"""
+
 OP12 = rf"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_SPACE_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
 marks AS (SELECT doc_id, bool_or(coalesce(quality = 1, FALSE)) AS good, bool_or(coalesce(toxic = 1, FALSE)) AS bad FROM labels GROUP BY doc_id),
@@ -171,6 +192,7 @@ SQL = {
     "op2_quality_rules": OP2,
     "op3_decontamination": OP3,
     "op5_jaccard_join": OP5,
+    "op11_secret_scan": OP11,
     "op12_filter_audit": OP12,
     "op13_conversation_repair": OP13,
 }

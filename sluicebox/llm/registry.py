@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.llm import decontamination, jaccard, language, oracles, pieces, private, quality, removal, repair, repeats, rules, tokens, toxicity
+from sluicebox.llm import decontamination, jaccard, language, oracles, pieces, private, quality, removal, repair, repeats, rules, secrets, tokens, toxicity
 from sluicebox.llm.common import documents, ship_package
 
 
@@ -61,6 +61,10 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.query(documents(spark, folder), _table(spark, folder, "labels"))
 
 
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.query(documents(spark, folder))
+
+
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return removal.query(documents(spark, folder), _table(spark, folder, "labels"))
 
@@ -80,6 +84,7 @@ QUERIES = (
     op8_language_id,
     op9_toxicity,
     op10_quality_classifier,
+    op11_secret_scan,
     op12_filter_audit,
     op13_conversation_repair,
 )
