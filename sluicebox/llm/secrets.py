@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re._constants as op
 import re._parser as pattern_parser
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -65,7 +65,7 @@ ADDED = (
     Rule("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("bearer", r"(?i:bearer)\x20+([A-Za-z0-9._~+/-]+)", 20, 1),
-    Rule("url_login", r"[a-z]+://[A-Za-z0-9._-]+:[^\x00-\x20/:@]+@[A-Za-z0-9.-]+"),
+    Rule("url_login", r"[a-z]{2,12}://[A-Za-z0-9._-]+:[^\x00-\x20/:@]+@[A-Za-z0-9.-]+"),
 )
 RULES = BASE + ADDED
 
@@ -171,27 +171,36 @@ def asked_trigrams(rules: Sequence[Rule]) -> list[str]:
     return sorted({t for rule in rules for clause in trigram_query(rule.pattern) for alternative in clause for t in alternative})
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # --- index and candidates
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
 def index(docs: DataFrame, wanted: Sequence[str], bucket_texts: int = BUCKET_TEXTS) -> DataFrame:
     """Posting lists (bucket, trigram, ids) of the wanted trigrams over all distinct texts."""
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(text_key(F.col("text")).alias("id"), F.lower("text").alias("low"))
+
+    names = [f"w{start}" for start in range(0, len(wanted), WORD_BITS)]
     words = []
     for start in range(0, len(wanted), WORD_BITS):
-        bits = [F.when(F.contains("low", F.lit(t)), F.lit(1 << k)).otherwise(F.lit(0)) for k, t in enumerate(wanted[start : start + WORD_BITS])]
-        words.append(reduce(lambda a, b: a.bitwiseOR(b), [bit.cast("bigint") for bit in bits]).alias(f"w{start}"))
-    names = [f"w{start}" for start in range(0, len(wanted), WORD_BITS)]
-    marked = texts.select("id", *words).where(" or ".join(f"{name} <> 0" for name in names)).groupBy("id").agg(*[F.bit_or(n).alias(n) for n in names])
-    held = [
-        F.when(F.col(f"w{k - k % WORD_BITS}").bitwiseAND(F.lit(1 << k % WORD_BITS)) != 0, F.lit(t)) for k, t in enumerate(wanted)
-    ]
+        bits = (f"if(contains(low, {_quoted(t)}), {1 << k}L, 0L)" for k, t in enumerate(wanted[start : start + WORD_BITS]))
+        words.append(" | ".join(bits))
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.select(text_key(F.col("text")).alias("id"), F.expr(f"transform(array(lower(text)), low -> array({', '.join(words)}))[0]").alias("words"))
+    marked = texts.groupBy("id").agg(*[F.bit_or(F.col("words")[k]).alias(name) for k, name in enumerate(names)])
+    held = ", ".join(f"if(w{k - k % WORD_BITS} & {1 << k % WORD_BITS}L <> 0, {_quoted(t)}, NULL)" for k, t in enumerate(wanted))
     n_buckets = 1 + docs.count() // bucket_texts
-    postings = marked.select(F.pmod("id", F.lit(n_buckets)).alias("bucket"), F.explode(F.array_compact(F.array(*held))).alias("trigram"), "id")
+    postings = marked.select(F.pmod("id", F.lit(n_buckets)).alias("bucket"), F.explode(F.expr(f"array_compact(array({held}))")).alias("trigram"), "id")
     return postings.groupBy("bucket", "trigram").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
@@ -217,36 +226,49 @@ def candidates(postings: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 # --- verification
 
 
-def _running(steps: Column) -> Column:
-    """Running sums of whole numbers. Chunks bound the copying that growing an array costs."""
+def _scan(array: Column) -> Column:
+    start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<bigint>").alias("out"))
+    grown = F.aggregate(
+        array,
+        start,
+        lambda acc, x: _let(acc["sum"] + x, lambda total: F.struct(total.alias("sum"), F.concat(acc["out"], F.array(total)).alias("out"))),
+    )
+    return grown["out"]
 
-    def scan(array: Column) -> Column:
-        start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<bigint>").alias("out"))
-        grown = F.aggregate(
-            array, start, lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.concat(acc["out"], F.array(acc["sum"] + x)).alias("out"))
-        )
-        return grown["out"]
 
+def _running(steps: Column) -> Column:
+    """Running sums of a column of whole numbers. Chunks bound the copying that growing an array costs."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1)), F.lit(CHUNK))
-    chunks = F.transform(starts, lambda at: F.slice(steps, at, CHUNK))
-    sums = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x))
-    before = F.zip_with(scan(sums), sums, lambda total, own: total - own)
-    return F.flatten(F.zip_with(chunks, before, lambda c, base: F.transform(scan(c), lambda x: x + base)))
+
+    def of_chunks(chunks: Column) -> Column:
+        sums = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x))
+        before = _let(sums, lambda own: F.zip_with(_scan(own), own, lambda total, one: total - one))
+        return F.flatten(F.zip_with(chunks, before, lambda c, base: F.transform(_scan(c), lambda x: x + base)))
+
+    return _let(F.transform(starts, lambda at: F.slice(steps, at, CHUNK)), of_chunks)
 
 
 def spans(text: Column, rule: Rule, place: int) -> Column:
-    """Array of (start, place, kind, end) in code points: what lies between the matches tells where they are."""
-    pattern = F.lit(rule.pattern)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    judged = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else matches
+    """Array of (start, place, kind, end) in code points: what lies between the matches tells where they are.
+
+    The text splits into one part more than it has matches; a match begins behind all parts and matches before it.
+    """
     long = lambda c: F.char_length(c).cast("bigint")
-    sizes = F.transform(matches, long)
-    # the text splits into one part more than it has matches; a match begins behind all parts and matches before it
-    steps = F.zip_with(F.transform(F.split(text, rule.pattern), long), F.concat(F.array(F.lit(0).cast("bigint")), sizes), lambda gap, size: gap + size)
-    starts = F.slice(_running(steps), F.lit(1), F.size(matches))
-    placed = F.zip_with(starts, sizes, lambda a, n: F.struct(a.alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), (a + n).alias("end")))
-    enough = F.zip_with(placed, judged, lambda s, g: F.when(F.char_length(g) >= rule.least, s))
-    return F.array_compact(enough)
+    sizes = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), long)
+    gaps = F.transform(F.split(text, rule.pattern), long)
+
+    def placed(sizes: Column) -> Column:
+        steps = F.zip_with(gaps, F.concat(F.array(F.lit(0).cast("bigint")), sizes), lambda gap, size: gap + size)
+        starts = F.slice(_let(steps, _running), F.lit(1), F.size(sizes))
+        return F.zip_with(
+            starts, sizes, lambda a, n: F.struct(a.alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), (a + n).alias("end"))
+        )
+
+    all_spans = _let(sizes, placed)
+    if rule.group:
+        judged = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), long)
+        return F.array_compact(F.zip_with(all_spans, judged, lambda s, n: F.when(n >= rule.least, s)))
+    return F.filter(all_spans, lambda s: s["end"] - s["start"] >= rule.least)
 
 
 def findings(docs: DataFrame, rules: Sequence[Rule] = RULES, bucket_texts: int = BUCKET_TEXTS) -> DataFrame:
