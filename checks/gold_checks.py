@@ -463,6 +463,43 @@ def guarded_query(t: Inputs) -> DataFrame:
     return governed.run_approved(t.spark, sql, {"product_performance": _gold(t, "product_performance")})
 
 
+_SERVED = {
+    "daily_sales_summary": "g_daily", "product_performance": "g_product", "category_performance": "g_category",
+    "customer_360": "g_customer", "inventory_health": "g_inventory", "realtime_metrics": "g_realtime",
+}
+# Each reads the column `internal_note`, which no contract lists; {t} is the table and {k} its key.
+_PROBES = (
+    "SELECT * FROM {t}", "SELECT a.n FROM (SELECT internal_note AS n FROM {t}) a", "SELECT {k} FROM {t} WHERE internal_note > 0",
+    "SELECT max({k}) AS k FROM {t} GROUP BY internal_note", "SELECT a.{k} FROM {t} a JOIN {t} b USING (internal_note)",
+    "WITH q AS (TABLE {t}) SELECT {k} FROM q", "SELECT (SELECT max(internal_note) FROM {t}) AS n FROM {t}",
+)
+
+
+@check(
+    "guarded_columns",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS rows_read, COUNT(DISTINCT {serving_table(name).key[0]}) AS keys_read, "
+        f"{len(_PROBES)} AS refused FROM {sql_view}"
+        for name, sql_view in _SERVED.items()
+    ),
+)
+def guarded_columns(t: Inputs) -> DataFrame:
+    """All six tables carry one column more than their contract: approved columns are read, the others refused."""
+    frames = {name: df.withColumn("internal_note", F.lit(1)) for name, df in gold_tables(t).items()}
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    parts = []
+    for name in frames:
+        key = serving_table(name).key[0]
+        refused = sum(not governed.check_sql(t.spark, probe.format(t=name, k=key)).ok for probe in _PROBES)
+        read = governed.run_approved(t.spark, f"SELECT '{name}' AS table_name, COUNT(*) AS rows_read, COUNT(DISTINCT {key}) AS keys_read FROM {name}")
+        parts.append(read.withColumn("refused", F.lit(refused)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 # ---- forecast ---------------------------------------------------------------------------------------------
 
 view(

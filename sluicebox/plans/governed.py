@@ -1,12 +1,17 @@
-"""Ad-hoc SQL limited to approved tables, judged on the plan Spark's own parser returns."""
+"""Ad-hoc SQL limited to approved tables and columns.
+
+The text is judged twice, and nothing runs before both judgements. On the plan Spark's parser returns, only known nodes,
+functions and table names may stand. On the plan Spark's analyzer returns, every attribute is followed by its id to the table
+it comes from, so a column outside the allow-list is found behind ``*``, aliases, subqueries, WITH and set operations alike.
+"""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import ParseException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from sluicebox.contracts import SERVING_TABLES
@@ -43,6 +48,10 @@ FUNCTIONS = frozenset(
     "ucase unix_timestamp upper var_pop var_samp variance weekday weekofyear when width_bucket year zeroifnull".split()
 )
 LIMIT_ROOTS = frozenset({"GlobalLimit", "LocalLimit"})
+# Nodes that hand on or compare whole rows of what is below without naming the columns.
+WHOLE_ROWS = frozenset("Union Intersect Except Distinct CTERelationDef".split())
+
+ColumnLists = Mapping[str, Iterable[str]]
 
 
 @dataclass(frozen=True)
@@ -85,6 +94,12 @@ def _parsed(spark: SparkSession, text: str):
     return spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
 
 
+def _analyzed(spark: SparkSession, text: str):
+    """The resolved plan of a query; commands in it would be skipped, not run."""
+    skip = spark._jvm.org.apache.spark.sql.execution.CommandExecutionMode.SKIP()
+    return spark._jsparkSession.sessionState().executePlan(_parsed(spark, text), skip).analyzed()
+
+
 def _limited(spark: SparkSession, text: str, limit: int) -> Verdict:
     """A LIMIT is written behind the text where that parses and limits the whole; else it is applied to the result."""
     longer = f"{text}\nLIMIT {limit}"
@@ -96,12 +111,83 @@ def _limited(spark: SparkSession, text: str, limit: int) -> Verdict:
     return Verdict(True, text, limit=limit)
 
 
-def check_sql(spark: SparkSession, sql: str, default_limit: int = DEFAULT_LIMIT) -> Verdict:
-    """Accept one read-only query over approved tables; nothing is executed.
+def _each(seq) -> Iterator:
+    return (seq.apply(i) for i in range(seq.size()))
+
+
+def _class(node) -> str:
+    return node.getClass().getSimpleName()
+
+
+def source_columns(analyzed) -> dict[str, set[str]]:
+    """Per source table, the columns that an analyzed plan reads, in lower case.
+
+    A source is a view or a leaf; what a view is made of is its owner's business. Columns of a source count as read if their
+    attribute id is used by any expression above it, is in the result, or belongs to whole rows that are handed on unnamed.
+    A source that Spark did not put under its own name has the name ''.
+    """
+    used: set[int] = set()
+    offered: list[tuple[str, dict[int, str]]] = []
+    whole = [analyzed]
+    stack = [(analyzed, "")]
+    while stack:
+        node, alias = stack.pop()
+        kind = _class(node)
+        children = list(_each(node.children()))
+        if kind == "View" or not children and kind not in ("CTERelationRef", "OneRowRelation"):
+            columns = [*_each(node.output()), *_each(node.metadataOutput())]
+            offered.append((alias, {c.exprId().id(): c.name().lower() for c in columns}))
+            continue
+        used |= {c.exprId().id() for c in _each(node.references().toSeq())}
+        if kind in WHOLE_ROWS:
+            whole += children
+        inner = list(_each(node.subqueries()))
+        whole += inner
+        below = node.identifier().name().lower() if kind == "SubqueryAlias" else ""
+        stack += [(child, below) for child in children] + [(plan, "") for plan in inner]
+    for node in whole:
+        used |= {c.exprId().id() for c in _each(node.output())}
+    read: dict[str, set[str]] = {}
+    for table, columns in offered:
+        read.setdefault(table, set()).update(name for number, name in columns.items() if number in used)
+    return read
+
+
+def _column_error(analyzed, allowed: ColumnLists | None) -> str | None:
+    """What an analyzed plan reads beyond the allow-list: by default the columns of the serving contracts."""
+    lists = allowed if allowed is not None else {name: table.columns for name, table in SERVING_TABLES.items()}
+    for table, columns in sorted(source_columns(analyzed).items()):
+        if table not in lists:
+            return f"Table is not approved: {table or 'unnamed source'}."
+        outside = sorted(columns - {name.lower() for name in lists[table]})
+        if outside:
+            return f"Column is not approved: {table}.{outside[0]}."
+    return None
+
+
+def check_sql(
+    spark: SparkSession, sql: str, default_limit: int = DEFAULT_LIMIT, allowed: ColumnLists | None = None
+) -> Verdict:
+    """Accept one read-only query over approved tables and columns; nothing is executed.
 
     Texts without an outer LIMIT get the default one. A name defined by WITH counts as approved only if no
-    table or view of that name exists, so it cannot hide one.
+    table or view of that name exists, so it cannot hide one. ``allowed`` narrows or replaces the contracts' columns.
+    Columns are judged where the tables exist; where one does not, no column can be read either.
     """
+    verdict = _check_text(spark, sql, default_limit)
+    if not verdict.ok:
+        return verdict
+    try:
+        analyzed = _analyzed(spark, verdict.sql)
+    except AnalysisException as error:
+        missing = error.getCondition() == "TABLE_OR_VIEW_NOT_FOUND"
+        return verdict if missing else Verdict(False, verdict.sql, f"SQL cannot be resolved: {error.getCondition()}.")
+    error = _column_error(analyzed, allowed)
+    return Verdict(False, verdict.sql, error) if error else verdict
+
+
+def _check_text(spark: SparkSession, sql: str, default_limit: int) -> Verdict:
+    """The judgement on the parsed plan."""
     text = sql.strip().rstrip(";").strip()
     if not text:
         return Verdict(False, text, "SQL is empty.")
@@ -143,14 +229,21 @@ def run_approved(
     sql: str,
     gold: Mapping[str, DataFrame] | None = None,
     default_limit: int = DEFAULT_LIMIT,
+    allowed: ColumnLists | None = None,
 ) -> DataFrame:
-    """Run an accepted query; ``gold`` frames are registered as views under their approved names first."""
+    """Run an accepted query; ``gold`` frames are registered as views under their approved names first.
+
+    Columns are judged once more on the very plan that will run, in case a view was replaced meanwhile.
+    """
     for name, df in (gold or {}).items():
         if name not in SERVING_TABLES:
             raise ValueError(f"Not an approved table: {name}")
         df.createOrReplaceTempView(name)
-    verdict = check_sql(spark, sql, default_limit)
+    verdict = check_sql(spark, sql, default_limit, allowed)
     if not verdict.ok:
         raise ValueError(verdict.error)
     df = spark.sql(verdict.sql)
+    error = _column_error(df._jdf.queryExecution().analyzed(), allowed)
+    if error:
+        raise ValueError(error)
     return df if verdict.limit is None else df.limit(verdict.limit)
