@@ -27,7 +27,8 @@ from sluicebox.functions.numbers import (
     sum_parts,
     total,
 )
-from sluicebox.sources.storage import DEFAULT_FORMAT, read_tables, staging, write_counted
+from sluicebox.sources.snapshots import Snapshots, View
+from sluicebox.sources.storage import DEFAULT_FORMAT, Staging, read_tables, staging, write_counted
 
 SILVER_INPUTS = ("categories", "customers", "products", "orders", "order_items", "inventory")
 
@@ -282,6 +283,24 @@ class BuildCount:
     written: int
 
 
+def _chosen(tables: Iterable[str] | None) -> list[str]:
+    chosen = list(tables or BATCH_GOLD)
+    unknown = sorted(set(chosen) - set(BATCH_GOLD))
+    if unknown:
+        raise ValueError(f"Unknown Gold tables: {', '.join(unknown)}")
+    return chosen
+
+
+def _built(
+    stage: Staging, silver: Mapping[str, DataFrame], chosen: list[str], as_of: date | str | None
+) -> dict[str, DataFrame]:
+    """The chosen tables; the item-order join behind two of them is stored once."""
+    days = None
+    if {"product_performance", "inventory_health"} <= set(chosen):
+        days = stage.store(product_days(silver["orders"], silver["order_items"]), "product-days")
+    return {table: build(table, silver, days, as_of, unique_orders=True) for table in chosen}
+
+
 def build_all(
     spark: SparkSession,
     silver_root: str,
@@ -290,22 +309,21 @@ def build_all(
     as_of: date | str | None = None,
     fmt: str = DEFAULT_FORMAT,
 ) -> list[BuildCount]:
-    """Write the chosen Gold snapshots. The item-order join behind two of them is stored once."""
-    chosen = list(tables or BATCH_GOLD)
-    unknown = sorted(set(chosen) - set(BATCH_GOLD))
-    if unknown:
-        raise ValueError(f"Unknown Gold tables: {', '.join(unknown)}")
+    """Write the chosen Gold tables, each in its own folder."""
+    chosen = _chosen(tables)
     silver = read_tables(spark, silver_root, SILVER_INPUTS, fmt)
     with staging(spark, "gold") as stage:
-        days = None
-        if {"product_performance", "inventory_health"} <= set(chosen):
-            days = stage.store(product_days(silver["orders"], silver["order_items"]), "product-days")
         return [
-            BuildCount(
-                table,
-                write_counted(
-                    build(table, silver, days, as_of, unique_orders=True), f"{gold_root}/{table}", "overwrite", fmt
-                )["rows"],
-            )
-            for table in chosen
+            BuildCount(table, write_counted(df, f"{gold_root}/{table}", "overwrite", fmt)["rows"])
+            for table, df in _built(stage, silver, chosen, as_of).items()
         ]
+
+
+def build_together(
+    silver: View, store: Snapshots, tables: Iterable[str] | None = None, as_of: date | str | None = None
+) -> list[BuildCount]:
+    """Build the chosen Gold tables from one version of Silver and publish them in one step."""
+    chosen = _chosen(tables)
+    with staging(silver.spark, "gold") as stage:
+        counts = store.commit(_built(stage, silver.read_all(SILVER_INPUTS), chosen, as_of))
+    return [BuildCount(table, counts[table]) for table in chosen]

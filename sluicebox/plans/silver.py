@@ -22,6 +22,7 @@ from sluicebox.functions.text import is_blank, lowered, or_unknown, snake_code,
 from sluicebox.operators.keys import latest_per_key, newest_order, orphan_keys, with_orphans, with_parent
 from sluicebox.operators.quality import Rule, has_flags, split_by_flags, with_flags
 from sluicebox.plans.bronze import LoadCounts
+from sluicebox.sources.snapshots import Snapshots
 from sluicebox.sources.storage import DEFAULT_FORMAT, read_table, staging, write_counted
 
 
@@ -326,16 +327,13 @@ def with_dependencies(tables: Iterable[str] | None) -> list[str]:
     return [table for table in CLEANINGS if table in needed]
 
 
-def refine_table(
-    spark: SparkSession,
-    table: str,
-    bronze: DataFrame,
-    parents: Mapping[str, DataFrame],
-    silver_root: str,
-    quarantine_root: str,
-    fmt: str = DEFAULT_FORMAT,
+Put = Callable[[DataFrame, str], int]
+
+
+def _refine_into(
+    spark: SparkSession, table: str, bronze: DataFrame, parents: Mapping[str, DataFrame], put: Put
 ) -> LoadCounts:
-    """Clean one stored table.
+    """Clean one stored table; ``put`` writes its ``valid`` and its ``rejected`` rows and returns their number.
 
     Flagged rows are staged once, split by verdict, so the scan, casts and key checks run once for both
     outputs. Keys without a parent are staged first, as bare ids: whole rows are then marked without
@@ -358,11 +356,29 @@ def refine_table(
         if order:
             valid = valid.sortWithinPartitions(*order)
         rejected = stored.filter("_rejected").drop("_rejected")
-        written = write_counted(with_silver_time(valid), f"{silver_root}/{table}", "overwrite", fmt)["rows"]
-        bad = write_counted(with_silver_time(rejected), f"{quarantine_root}/silver/{table}", "overwrite", fmt)["rows"]
+        written = put(with_silver_time(valid), "valid")
+        bad = put(with_silver_time(rejected), "rejected")
     return LoadCounts(table, "", read, written, bad)
 
 
+def refine_table(
+    spark: SparkSession,
+    table: str,
+    bronze: DataFrame,
+    parents: Mapping[str, DataFrame],
+    silver_root: str,
+    quarantine_root: str,
+    fmt: str = DEFAULT_FORMAT,
+) -> LoadCounts:
+    """Clean one stored table into its Silver and quarantine folders."""
+    paths = {"valid": f"{silver_root}/{table}", "rejected": f"{quarantine_root}/silver/{table}"}
+
+    def put(df: DataFrame, verdict: str) -> int:
+        return write_counted(df, paths[verdict], "overwrite", fmt)["rows"]
+
+    return _refine_into(spark, table, bronze, parents, put)
+
+
 def refine(
     spark: SparkSession,
     bronze_root: str,
@@ -378,3 +394,28 @@ def refine(
         results.append(refine_table(spark, table, bronze, cleaned, silver_root, quarantine_root, fmt))
         cleaned[table] = read_table(spark, f"{silver_root}/{table}", fmt)
     return results
+
+
+def rejected_name(table: str) -> str:
+    return f"rejected_{table}"
+
+
+def refine_together(
+    spark: SparkSession, bronze_root: str, store: Snapshots, tables: Iterable[str] | None = None, fmt: str = DEFAULT_FORMAT
+) -> list[LoadCounts]:
+    """Bronze to Silver, published in one step: valid tables under their names, rejected rows as ``rejected_<table>``.
+
+    Children are checked against the cleaned parents of the same load, which no reader sees before the end.
+    """
+    results = []
+    with store.load() as load:
+        for table in with_dependencies(tables):
+
+            def put(df: DataFrame, verdict: str, table: str = table) -> int:
+                name = table if verdict == "valid" else rejected_name(table)
+                return load.write(name, df)["rows"]
+
+            parents = {link.table: load.read(link.table) for link in CLEANINGS[table]().parents}
+            bronze = read_table(spark, f"{bronze_root}/{table}", fmt)
+            results.append(_refine_into(spark, table, bronze, parents, put))
+    return results

@@ -2,8 +2,8 @@
 
 Live metrics use update mode: open windows are reported at once and corrected later. Each micro-batch brings
 the changed (window, customer) rows. They are appended to a parts table; the windows they touch are summed
-again and replace their rows in the metrics table. Both writes are keyed by batch id, so a repeated
-micro-batch overwrites its own output and changes nothing else.
+again and replace their rows in the metrics table, a ``KeyedLog``, so a micro-batch writes as much as it touches,
+however long the history is. Both writes are keyed by batch id, so a repeated micro-batch changes nothing.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from sluicebox.contracts import serving_table
 from sluicebox.operators.keys import latest_per_key
-from sluicebox.sources.storage import DEFAULT_FORMAT, child_names, delete_path, path_exists
+from sluicebox.sources.storage import DEFAULT_FORMAT, child_names, delete_path
+from sluicebox.streaming.keyed_log import KeyedLog
 from sluicebox.streaming.metrics import customer_windows, realtime_metrics, stored_window_metrics
 
-KEPT_VERSIONS = 2
 
 
 def checkpoint_folder(root: str, job: str) -> str:
@@ -44,35 +44,6 @@ def start_closed_metrics(
     return start_append(realtime_metrics(events), path, checkpoint, fmt, once)
 
 
-@dataclass(frozen=True)
-class VersionedTable:
-    """A small keyed table kept as whole snapshots ``version=N``; readers take the newest finished one."""
-
-    spark: SparkSession
-    path: str
-    key: tuple[str, ...]
-
-    def versions(self) -> list[int]:
-        names = child_names(self.spark, self.path)
-        found = [int(name.split("=")[1]) for name in names if name.startswith("version=")]
-        return sorted(v for v in found if path_exists(self.spark, f"{self.path}/version={v}/_SUCCESS"))
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        usable = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/version={usable[-1]}") if usable else None
-
-    def upsert(self, changes: DataFrame, version: int) -> None:
-        """Snapshot ``version`` = the one before it with rows replaced by key. Safe to repeat."""
-        current = self.read(before=version)
-        merged = changes
-        if current is not None:
-            both = current.withColumn("_age", F.lit(0)).unionByName(changes.withColumn("_age", F.lit(1)))
-            merged = latest_per_key(both, self.key, ["_age"]).drop("_age")
-        merged.write.mode("overwrite").parquet(f"{self.path}/version={version}")
-        for old in self.versions()[:-KEPT_VERSIONS]:
-            delete_path(self.spark, f"{self.path}/version={old}")
-
-
 @dataclass(frozen=True)
 class LiveMetrics:
     """Where live metrics live: the parts table, the metrics table and an optional serving target.
@@ -89,8 +60,9 @@ class LiveMetrics:
         return f"{self.root}/parts"
 
     @property
-    def metrics(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/metrics", serving_table("realtime_metrics").key)
+    def metrics(self) -> KeyedLog:
+        table = serving_table("realtime_metrics")
+        return KeyedLog(self.spark, f"{self.root}/metrics", table.schema, table.key, "to_date(window_start)")
 
     def apply(self, changed: DataFrame, batch_id: int) -> None:
         """Handler for ``foreachBatch``. Only the days this batch touched are listed and read."""

@@ -1,6 +1,7 @@
 import json
 import os
-from datetime import datetime, timedelta
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from sluicebox.contracts import EVENT_SCHEMA, EVENT_TOPICS
 from sluicebox.plans.serving import FileTarget, realtime_loader
 from sluicebox.streaming import events as ev
 from sluicebox.streaming import metrics, sinks
+from sluicebox.streaming.keyed_log import KeyedLog
 
 START = datetime(2026, 7, 23, 10, 0)
 
@@ -147,7 +149,7 @@ def test_live_metrics_equal_the_batch_after_every_step(spark, folder):
         assert sorted(live.read().collect()) == expected
         served = spark.read.parquet(f"{folder}/serving/realtime_metrics")
         assert sorted(served.select(*live.read().columns).collect()) == expected
-    assert len(live.metrics.versions()) == sinks.KEPT_VERSIONS
+    assert live.metrics.finished() >= len(steps) - 1
 
 
 def test_repeating_a_micro_batch_changes_nothing(spark, folder):
@@ -164,13 +166,65 @@ def test_repeating_a_micro_batch_changes_nothing(spark, folder):
     assert live.read().count() == 5
 
 
-def test_unfinished_version_is_not_read(spark, folder):
-    table = sinks.VersionedTable(spark, f"{folder}/t", ("k",))
-    assert table.read() is None
-    table.upsert(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), 0)
-    table.upsert(spark.createDataFrame([(2, "c")], "k int, v string"), 1)
-    os.makedirs(f"{folder}/t/version=2")
-    assert sorted(tuple(r) for r in table.read().collect()) == [(1, "a"), (2, "c")]
+KEYED = "k int, day date, v string"
+
+
+def keyed_rows(spark, *rows):
+    return spark.createDataFrame([(k, date(2026, 1, d), v) for k, d, v in rows], KEYED)
+
+
+def keyed_log(spark, path, limit=3):
+    return KeyedLog(spark, path, keyed_rows(spark).schema, ("k",), "day", limit)
+
+
+def test_unfinished_batches_are_not_read(spark, folder):
+    log = keyed_log(spark, f"{folder}/t")
+    assert log.read() is None
+    log.upsert(keyed_rows(spark, (1, 1, "a"), (2, 2, "b")), 0)
+    log.upsert(keyed_rows(spark, (2, 2, "c")), 1)
+    keyed_rows(spark, (1, 1, "z")).drop("day").write.parquet(f"{folder}/t/delta/log_day=2026-01-01/version=2")
+    assert sorted((r.k, r.v) for r in log.read().collect()) == [(1, "a"), (2, "c")]
+    log.upsert(keyed_rows(spark, (3, 1, "d")), 2)  # the batch comes again and replaces what the broken one left
+    assert sorted((r.k, r.v) for r in log.read().collect()) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+@pytest.mark.parametrize("limit", [1, 2, 3, 100])
+def test_log_equals_a_dictionary_after_every_batch(spark, folder, limit):
+    dice, expected = random.Random(limit), {}
+    log = keyed_log(spark, f"{folder}/t", limit)
+    for version in range(9):
+        changes = {k: (k, k % 4 + 1, f"{version}-{k}") for k in dice.sample(range(12), dice.randrange(5))}
+        for _ in range(1 + version % 2):  # every other batch comes twice
+            log.upsert(keyed_rows(spark, *changes.values()), version)
+        log.upsert(keyed_rows(spark, *[(k, d, "late copy") for k, d, _ in changes.values()]), version - 1)
+        expected |= {k: row[2] for k, row in changes.items()}
+        assert {r.k: r.v for r in log.read().collect()} == expected and log.read().count() == len(expected)
+
+
+def files_below(path):
+    return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_a_batch_writes_what_it_touches(spark, folder):
+    """Sixty days of history: a batch that touches one window writes one small file, merges rewrite one day, files stay few."""
+    log = keyed_log(spark, f"{folder}/t", 4)
+    history = spark.range(60 * 1440).selectExpr("cast(id as int) k", "date_add(DATE'2026-01-01', cast(id div 1440 as int)) day", "sha2(cast(id as string), 256) v")
+    log.upsert(history, 0)
+    whole = sum(files_below(folder).values())
+    written = []
+    for version in range(1, 21):
+        before = files_below(folder)
+        log.upsert(history.where("k = 30000").withColumn("v", F.lit(f"new {version}")), version)
+        written.append(sum(size for path, size in files_below(folder).items() if path not in before))
+    assert max(written) < whole / 20 and sorted(written)[14] < whole / 1000
+    assert len([p for p in files_below(folder) if "log_day=2026-01-21" in p]) <= 2 * 4 + 2
+    assert log.read().where("v = 'new 20'").count() == 1 and log.read().count() == 60 * 1440
+
+
+def test_resting_days_are_read_without_a_shuffle(spark, folder):
+    log = keyed_log(spark, f"{folder}/t", 1)
+    log.upsert(keyed_rows(spark, (1, 1, "a"), (2, 2, "b")), 0)
+    assert "Exchange" not in log.read()._jdf.queryExecution().executedPlan().toString()
 
 
 def test_state_holds_no_customer_sets(spark, folder):
