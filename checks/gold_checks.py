@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from checks import stacking
 from checks.fixtures import AS_OF, Inputs
-from checks.registry import check, half_up, money, money_ratio, view
+from checks.registry import VIEWS, check, half_up, money, money_ratio, view
 from sluicebox.contracts import serving_table
 from sluicebox.functions import business, dates, numbers
 from sluicebox.operators.keys import with_parent
 from sluicebox.operators.quality import contract_violations
 from sluicebox.plans import forecast, gold, governed, kpi, serving
+from sluicebox.sources.snapshots import Snapshots
 from sluicebox.sources.storage import Staging, fresh_folder, read_table
 from sluicebox.streaming.metrics import customer_windows, realtime_metrics
 
@@ -402,11 +404,15 @@ def kpi_bundle(t: Inputs) -> DataFrame:
 
 # ---- serving, contracts, governed SQL ---------------------------------------------------------------------
 
-check(
-    "serving_projection",
-    "SELECT customer_id, customer_name, total_orders, lifetime_value, average_order_value, last_order_date, "
-    "CAST(days_since_last_order AS BIGINT) AS days_since_last_order, customer_segment FROM g_customer",
-)(lambda t: serving.serving_rows(_gold(t, "customer_360"), serving_table("customer_360")))
+_SERVED = {
+    "daily_sales_summary": "g_daily", "product_performance": "g_product", "category_performance": "g_category",
+    "customer_360": "g_customer", "inventory_health": "g_inventory", "realtime_metrics": "g_realtime",
+}
+
+
+@check("serving_projection", stacking.serving_sql(_SERVED))
+def serving_projection(t: Inputs) -> DataFrame:
+    return stacking.serving({name: serving.serving_rows(df, serving_table(name)) for name, df in gold_tables(t).items()})
 
 
 @check(
@@ -424,12 +430,29 @@ def null_clean_nan(t: Inputs) -> DataFrame:
     return numbers.nan_to_null(rows)
 
 
-@check("sink_serving_replace", "SELECT * FROM g_product")
+@check("sink_serving_replace", stacking.serving_sql(_SERVED))
 def sink_serving_replace(t: Inputs) -> DataFrame:
+    """All six tables in plain folders, each replaced once."""
     target = serving.FileTarget(fresh_folder(t.spark, "serving"))
-    for _ in range(2):
-        serving.replace_serving_table(_gold(t, "product_performance"), "product_performance", target)
-    return read_table(t.spark, f"{target.root}/product_performance")
+    for name, df in gold_tables(t).items():
+        serving.replace_serving_table(df.limit(3), name, target)
+        serving.replace_serving_table(df, name, target)
+    return stacking.serving({name: read_table(t.spark, f"{target.root}/{name}") for name in _SERVED})
+
+
+@check("sink_serving_many", stacking.serving_sql(_SERVED))
+def sink_serving_many(t: Inputs) -> DataFrame:
+    """All six tables in one commit; a later load whose third table breaks is not seen in any of them."""
+    target = serving.SnapshotTarget(Snapshots(t.spark, fresh_folder(t.spark, "served")))
+    frames = gold_tables(t)
+    serving.replace_serving_tables(frames, target)
+    broken = {name: df.limit(1) for name, df in frames.items()}
+    broken["category_performance"] = broken["category_performance"].withColumn("category_name", F.raise_error(F.lit("broken")))
+    try:
+        serving.replace_serving_tables(broken, target)
+    except Exception:  # noqa: BLE001  (the engine's error is what is being provoked)
+        return stacking.serving(target.view().read_all())
+    raise AssertionError("The broken load was published")
 
 
 @check(
@@ -463,10 +486,6 @@ def guarded_query(t: Inputs) -> DataFrame:
     return governed.run_approved(t.spark, sql, {"product_performance": _gold(t, "product_performance")})
 
 
-_SERVED = {
-    "daily_sales_summary": "g_daily", "product_performance": "g_product", "category_performance": "g_category",
-    "customer_360": "g_customer", "inventory_health": "g_inventory", "realtime_metrics": "g_realtime",
-}
 # Each reads the column `internal_note`, which no contract lists; {t} is the table and {k} its key.
 _PROBES = (
     "SELECT * FROM {t}", "SELECT a.n FROM (SELECT internal_note AS n FROM {t}) a", "SELECT {k} FROM {t} WHERE internal_note > 0",
@@ -563,6 +582,30 @@ check("join_ml_sales", "SELECT sales_date, product_id, category_id FROM sales_m"
     lambda t: daily_sales_of(t).select("sales_date", "product_id", "category_id")
 )
 check("ts_features", "SELECT * FROM features_m")(features_of)
+# Every product with an even number is sold under number 0, which then has half of all rows.
+view(
+    "hot_sales_m",
+    "SELECT sales_date, CASE WHEN product_id % 2 = 0 THEN 0 ELSE product_id END AS product_id, category_id, "
+    "SUM(units_sold) AS units_sold, SUM(revenue) AS revenue FROM sales_m GROUP BY ALL",
+)
+view("hot_series_m", VIEWS["series_m"].replace("sales_m", "hot_sales_m"))
+
+
+@check(
+    "ts_features_hot",
+    "SELECT sales_date, product_id, category_id, units_sold, coalesce(l1, m, 0) AS lag_1, coalesce(l7, m, 0) AS lag_7, "
+    "round(coalesce(r7, m, 0), 6) AS rolling_mean_7, round(coalesce(r30, m, 0), 6) AS rolling_mean_30 FROM hot_series_m",
+)
+def ts_features_hot(t: Inputs) -> DataFrame:
+    """Features of series in blocks, each with the rows before it."""
+    product = F.when(F.col("product_id") % 2 == 0, 0).otherwise(F.col("product_id")).cast("bigint")
+    daily = daily_sales_of(t).withColumn("product_id", product)
+    daily = daily.groupBy("sales_date", "product_id", "category_id").agg(F.sum("units_sold").alias("units_sold"), F.sum("revenue").alias("revenue"))
+    rows = forecast.add_features(daily, block_rows=1000)
+    means = [F.round(name, 6).alias(name) for name in ("rolling_mean_7", "rolling_mean_30")]
+    return rows.select("sales_date", "product_id", "category_id", "units_sold", "lag_1", "lag_7", *means)
+
+
 check("ts_lag_1", "SELECT sales_date, product_id, l1 AS result FROM series_m")(
     lambda t: daily_sales_of(t).select(*_SERIES_KEY, forecast.lag_of("units_sold", 1).alias("result"))
 )
@@ -586,13 +629,13 @@ check("latest_category_per_product", "SELECT product_id, category_id FROM tail_m
 )
 check(
     "history_tail",
-    "SELECT product_id, category_id, CAST(len(units) AS INTEGER) AS kept, units[-1] AS newest, units[1] AS oldest, "
-    "CAST(len(revenues) AS INTEGER) AS revenues, revenues[1] AS first_revenue FROM tail_m",
+    "SELECT product_id, category_id, array_to_string(list_transform(units, lambda x: CAST(x AS BIGINT)), ',') AS units, "
+    "array_to_string(list_transform(revenues, lambda x: CAST(round(x * 100) AS BIGINT)), ',') AS revenues FROM tail_m",
 )(
     lambda t: forecast.history_tail(features_of(t)).select(
-        "product_id", "category_id", F.size("units").alias("kept"), F.element_at("units", -1).alias("newest"),
-        F.element_at("units", 1).alias("oldest"), F.size("revenues").alias("revenues"),
-        F.element_at("revenues", 1).alias("first_revenue"),
+        "product_id", "category_id",
+        F.array_join(F.transform("units", lambda x: x.cast("bigint")), ",").alias("units"),
+        F.array_join(F.transform("revenues", lambda x: F.round(x * 100).cast("bigint")), ",").alias("revenues"),
     )
 )
 _FUTURE = "sales_date, product_id, category_id, lag_1, lag_7, rolling_mean_7, rolling_mean_30"

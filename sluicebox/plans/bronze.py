@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sluicebox.contracts import CORRUPT, RAW_SOURCES, RawSource, raw_source
 from sluicebox.functions.hashing import record_hash
 from sluicebox.sources.csv import read_source_csv, require_sources
+from sluicebox.sources.run_log import RunLog
 from sluicebox.sources.storage import DEFAULT_FORMAT
 
 
@@ -57,8 +58,14 @@ def load_source(
     quarantine_root: str,
     batch_id: str,
     fmt: str = DEFAULT_FORMAT,
+    log: RunLog | None = None,
 ) -> LoadCounts:
-    """Append one source. Counts come from the write itself; the file is parsed again only if lines failed."""
+    """Append one source. Counts come from the write itself; the file is parsed again only if lines failed.
+
+    With a ``log`` (file formats only) a batch is loaded once, however often it is run, and its counts are kept.
+    """
+    if log is not None and fmt != DEFAULT_FORMAT:
+        raise ValueError(f"A run log moves finished files, which format {fmt!r} does not allow")
     source = raw_source(table)
     path = f"{raw_root}/{source.file_name}"
     rows = with_load_metadata(read_source_csv(spark, source, path), source, path, batch_id)
@@ -68,12 +75,20 @@ def load_source(
         seen, F.count(F.lit(1)).alias("read"), F.count_if(is_malformed()).alias("malformed")
     )
     good, _ = split_malformed(counted)
-    good.write.format(fmt).mode("append").save(f"{bronze_root}/{table}")
-    read, malformed = int(seen.get["read"]), int(seen.get["malformed"])
-    if malformed:
-        _, bad = split_malformed(rows)
-        bad.write.format(fmt).mode("append").save(f"{quarantine_root}/bronze/{table}/{batch_id}")
-    return LoadCounts(table, batch_id, read, read - malformed, malformed)
+
+    def set_aside() -> tuple[int, int, int]:
+        read, malformed = int(seen.get["read"]), int(seen.get["malformed"])
+        if malformed:
+            _, bad = split_malformed(rows)
+            mode = "append" if log is None else "overwrite"
+            bad.write.format(fmt).mode(mode).save(f"{quarantine_root}/bronze/{table}/{batch_id}")
+        return read, read - malformed, malformed
+
+    if log is None:
+        good.write.format(fmt).mode("append").save(f"{bronze_root}/{table}")
+        return LoadCounts(table, batch_id, *set_aside())
+    found = log.append_once("bronze", batch_id, table, good, f"{bronze_root}/{table}", set_aside)
+    return LoadCounts(table, batch_id, found["rows_read"], found["rows_written"], found["rows_rejected"])
 
 
 def load_sources(
@@ -84,12 +99,13 @@ def load_sources(
     tables: Iterable[str] | None = None,
     batch_id: str | None = None,
     fmt: str = DEFAULT_FORMAT,
+    log: RunLog | None = None,
 ) -> list[LoadCounts]:
     """Load all sources, or the named ones, under one batch id."""
     chosen = list(tables or RAW_SOURCES)
     require_sources(spark, raw_root, chosen)
     batch = batch_id or str(uuid.uuid4())
-    return [load_source(spark, t, raw_root, bronze_root, quarantine_root, batch, fmt) for t in chosen]
+    return [load_source(spark, t, raw_root, bronze_root, quarantine_root, batch, fmt, log) for t in chosen]
 
 
 def run_report(spark: SparkSession, counts: Iterable) -> DataFrame:

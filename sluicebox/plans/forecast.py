@@ -15,10 +15,12 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from sluicebox.functions.dates import calendar
 from sluicebox.functions.numbers import sum_of_parts
 from sluicebox.operators.keys import with_position
+from sluicebox.operators.series import block_window, over_series
 from sluicebox.plans.gold import product_days
 from sluicebox.sources.storage import (
     Staging,
@@ -42,6 +44,8 @@ TEST_DAYS, HORIZON_DAYS = 14, 7
 # Spark allows 30 levels; each level more can double a tree, and all trees are held by every executor and the driver.
 MAX_DEPTH = 10
 MAX_BINS = 32
+# Rows before the current one that features look at, and rows of a series that one task may sort.
+HALO, SERIES_ROWS = 30, 1_000_000
 
 PREDICTION_COLUMNS = (
     "sales_date", "product_id", "category_id", "predicted_units_sold",
@@ -60,39 +64,53 @@ def daily_product_sales(orders: DataFrame, items: DataFrame, products: DataFrame
     )
 
 
-def _series(first: int | None = None, last: int | None = None):
-    window = Window.partitionBy("product_id")
-    if first is None:
-        return window
-    return window.orderBy("sales_date", "category_id").rowsBetween(first, last)
+_SERIES_KEY, _SERIES_ORDER = ("product_id",), ("sales_date", "category_id")
+
 
+def _in_series() -> WindowSpec:
+    return Window.partitionBy(*_SERIES_KEY).orderBy(*_SERIES_ORDER)
 
-def lag_of(name: str, rows: int) -> Column:
-    return F.lag(name, rows).over(Window.partitionBy("product_id").orderBy("sales_date", "category_id"))
 
+def lag_of(name: str, rows: int, series: WindowSpec | None = None) -> Column:
+    return F.lag(name, rows).over(series or _in_series())
 
-def rolling_mean(name: str, rows: int) -> Column:
+
+def rolling_mean(name: str, rows: int, series: WindowSpec | None = None) -> Column:
     """Mean of up to ``rows`` rows before the current one."""
-    return F.avg(name).over(_series(-rows, -1))
+    return F.avg(name).over((series or _in_series()).rowsBetween(-rows, -1))
 
 
 def or_series_mean(value: Column, name: str) -> Column:
-    return F.coalesce(value, F.avg(name).over(_series()), F.lit(0.0))
+    return F.coalesce(value, F.avg(name).over(Window.partitionBy(*_SERIES_KEY)), F.lit(0.0))
 
 
-def add_features(daily: DataFrame) -> DataFrame:
-    """Calendar, lag and rolling features. All windows share one shuffle by product, and one sort.
+def _looking_back(series: WindowSpec) -> dict[str, Column]:
+    return {
+        "lag_1": lag_of("units_sold", 1, series),
+        "lag_7": lag_of("units_sold", 7, series),
+        "rolling_mean_7": rolling_mean("units_sold", 7, series),
+        "rolling_mean_30": rolling_mean("units_sold", HALO, series),
+    }
 
-    A product has at most one row per day and category, so no series grows with the number of sales.
+
+def add_features(daily: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """Calendar, lag and rolling features.
+
+    Without ``block_rows`` all windows share one shuffle by product, and one sort; each series is sorted in one task. With it,
+    series are cut into blocks of so many rows, each with the 30 rows before it, and the mean of a series is summed on the map
+    side: a series may then hold any share of all rows.
     """
     units = daily.withColumn("units_sold", F.col("units_sold").cast("double"))
-    raw = {
-        "lag_1": lag_of("units_sold", 1),
-        "lag_7": lag_of("units_sold", 7),
-        "rolling_mean_7": rolling_mean("units_sold", 7),
-        "rolling_mean_30": rolling_mean("units_sold", 30),
-    }
-    filled = {name: or_series_mean(value, "units_sold") for name, value in raw.items()}
+    if block_rows is None:
+        raw = _looking_back(_in_series())
+        filled = {name: or_series_mean(value, "units_sold") for name, value in raw.items()}
+    else:
+        # dealt anew, so that both sides of the join are shuffled for it and Spark can split a long series there
+        means = units.groupBy(*_SERIES_KEY).agg(F.avg("units_sold").alias("_mean")).hint("rebalance")
+        units = over_series(units, _SERIES_KEY, _SERIES_ORDER, _looking_back(block_window(_SERIES_KEY)), block_rows, HALO)
+        known, hot = units.alias("u"), means.alias("m")
+        units = known.join(hot, F.col("u.product_id").eqNullSafe(F.col("m.product_id")), "left").select("u.*", "m._mean")
+        filled = {name: F.coalesce(name, "_mean", F.lit(0.0)) for name in _looking_back(_in_series())}
     return units.select(
         "sales_date",
         "product_id",
@@ -104,20 +122,31 @@ def add_features(daily: DataFrame) -> DataFrame:
     )
 
 
+def features_of_stored(daily: DataFrame) -> DataFrame:
+    """Features of a stored table of daily sales: in blocks if any series is longer than ``SERIES_ROWS``."""
+    longest = daily.groupBy(*_SERIES_KEY).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return add_features(daily, SERIES_ROWS if (longest or 0) > SERIES_ROWS else None)
+
+
 def require_rows(df: DataFrame, message: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(message)
     return df
 
 
-def features_from_silver(spark: SparkSession, silver_root: str, fmt: str = "parquet") -> DataFrame:
+def sales_from_silver(spark: SparkSession, silver_root: str, fmt: str = "parquet") -> DataFrame:
     silver = read_tables(spark, silver_root, ("orders", "order_items", "products"), fmt)
-    return add_features(daily_product_sales(silver["orders"], silver["order_items"], silver["products"]))
+    return daily_product_sales(silver["orders"], silver["order_items"], silver["products"])
+
+
+def features_from_silver(spark: SparkSession, silver_root: str, fmt: str = "parquet") -> DataFrame:
+    return add_features(sales_from_silver(spark, silver_root, fmt))
 
 
 def stored_features(spark: SparkSession, stage: Staging, silver_root: str, fmt: str = "parquet") -> DataFrame:
-    """Features written once, before anything is asked of them: the joins behind them run a single time."""
-    features = stage.store(features_from_silver(spark, silver_root, fmt), "features")
+    """Sales and features written once, before anything is asked of them: the joins behind them run a single time."""
+    daily = stage.store(sales_from_silver(spark, silver_root, fmt), "daily-sales")
+    features = stage.store(features_of_stored(daily), "features")
     return require_rows(features, "There are no sales to build features from.")
 
 

@@ -18,11 +18,10 @@ from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from sluicebox.sources.storage import child_names, delete_path, filesystem_path, write_counted, write_small_text
+from sluicebox.sources.storage import child_names, delete_path, filesystem_path, open_small_text, put_new_text, write_counted
 
 KEPT_VERSIONS = 3
 ATTEMPTS = 20
@@ -150,37 +149,11 @@ class Snapshots:
         return f"{self.root}/_manifests/{version:012d}.json"
 
     def _manifest(self, version: int) -> dict:
-        fs, path = filesystem_path(self.spark, self._manifest_path(version))
-        try:
-            stream = fs.open(path)
-        except Py4JJavaError as error:
-            if "FileNotFoundException" in str(error.java_exception):
-                raise FileNotFoundError(str(path)) from None
-            raise
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return json.loads(open_small_text(self.spark, self._manifest_path(version)))
 
     def _put_manifest(self, version: int, tables: Mapping[str, dict]) -> bool:
         """Create the manifest of a version as a whole; False if the version exists already."""
-        side = f"{self.root}/_manifests/{uuid.uuid4().hex}.part"
-        write_small_text(self.spark, side, json.dumps({"version": version, "tables": tables}))
-        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
-        _, source = filesystem_path(self.spark, side)
-        _, target = filesystem_path(self.spark, self._manifest_path(version))
-        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-        options = gateway.new_array(rename, 1)
-        options[0] = rename.valueOf("NONE")
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), self.spark._jsc.hadoopConfiguration())
-        try:
-            context.rename(context.makeQualified(source), context.makeQualified(target), options)
-            return True
-        except Py4JJavaError as error:
-            delete_path(self.spark, side)
-            if "FileAlreadyExistsException" in str(error.java_exception):
-                return False
-            raise
+        return put_new_text(self.spark, self._manifest_path(version), json.dumps({"version": version, "tables": tables}))
 
 
 @dataclass

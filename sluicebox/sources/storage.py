@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +62,52 @@ def write_small_text(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
 
 
+def put_new_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file as a whole, unless it exists: written beside its place, then renamed without overwriting."""
+    side = f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}.part"
+    write_small_text(spark, side, text)
+    hadoop, (_, source), (_, target) = spark._jvm.org.apache.hadoop.fs, filesystem_path(spark, side), filesystem_path(spark, path)
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.valueOf("NONE")
+    context = hadoop.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(context.makeQualified(source), context.makeQualified(target), options)
+        return True
+    except Py4JJavaError as error:
+        delete_path(spark, side)
+        if "FileAlreadyExistsException" in str(error.java_exception):
+            return False
+        raise
+
+
+def open_small_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file, read by the driver itself; FileNotFoundError if there is none."""
+    fs, target = filesystem_path(spark, path)
+    try:
+        stream = fs.open(target)
+    except Py4JJavaError as error:
+        if "FileNotFoundException" in str(error.java_exception):
+            raise FileNotFoundError(path) from None
+        raise
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file that an earlier attempt may have moved already."""
+    fs, old = filesystem_path(spark, source)
+    _, new = filesystem_path(spark, target)
+    if fs.exists(old):
+        fs.mkdirs(new.getParent())
+        if not fs.rename(old, new):
+            raise OSError(f"Cannot move {source} to {target}")
+    elif not fs.exists(new):
+        raise FileNotFoundError(source)
+
+
 def read_small_text(spark: SparkSession, path: str) -> str:
     return "\n".join(row.value for row in spark.read.text(path, wholetext=True).collect())
 

@@ -1,12 +1,13 @@
 """One key holds a third of the rows or more: results stay whole and no task gets the whole group."""
 
+import collections
 from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
-from sluicebox.operators import keys
-from sluicebox.plans import gold, silver
+from sluicebox.operators import keys, series
+from sluicebox.plans import forecast, gold, silver
 from sluicebox.streaming import metrics
 
 SMALL_PARTITIONS = {
@@ -130,3 +131,58 @@ def test_hot_bronze_key_reaches_silver_once(spark, folder):
     rows.write.parquet(f"{folder}/bronze/categories")
     (counts,) = silver.refine(spark, f"{folder}/bronze", f"{folder}/silver", f"{folder}/q", ["categories"])
     assert (counts.read, counts.written, counts.rejected) == (30000, 10001, 0)
+
+
+# ---- long series ------------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def daily(spark):
+    """Sales of 41 products; one of them has half of all rows, one has no number, many have one or two rows."""
+    product = F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(100 + F.col("id") % 39)
+    days = F.expr("date_add(DATE'2020-01-01', CAST(id div 3 AS INT))")
+    rows = spark.range(0, 12000, 1, 8).select(
+        days.alias("sales_date"), product.alias("product_id"), (F.col("id") % 3).alias("category_id"),
+        (F.col("id") * 37 % 11).cast("double").alias("units_sold"), (F.col("id") % 100).cast("double").alias("revenue"),
+    )
+    few = spark.range(200).selectExpr("DATE'2021-05-05' AS sales_date", "id + 1000 AS product_id", "id AS category_id", "2.0D AS units_sold", "NULL AS revenue")
+    return rows.unionByName(few)
+
+
+@pytest.mark.parametrize("block_rows", [30, 31, 500, 100_000])
+def test_series_in_blocks_equal_whole_series(spark, daily, block_rows):
+    plain, blocks = forecast.add_features(daily), forecast.add_features(daily, block_rows)
+    assert blocks.columns == plain.columns
+    assert blocks.count() == plain.count() == daily.count()
+    assert blocks.exceptAll(plain).count() == 0
+
+
+def test_a_product_with_half_of_all_rows_is_spread(spark, daily):
+    with settings(spark, SMALL_PARTITIONS | {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        features = forecast.add_features(daily, 250)
+        plan = final_plan(features)
+        assert "hashpartitioning(_block" in plan and "skew=true" in plan
+        placed = features.withColumn("task", F.spark_partition_id()).collect()
+        tasks = collections.Counter(r.task for r in placed if r.product_id == 7)
+        assert sum(tasks.values()) == 6000 and len(tasks) >= 2 and max(tasks.values()) <= 4000
+        # where the windows run, a task's rows of the product are whole blocks of 280 rows at most
+        blocks = series.with_halo(daily, ["product_id"], ["sales_date", "category_id"], 250, 30)
+        sizes = blocks.repartition(16, "_block", "product_id").groupBy(F.spark_partition_id().alias("task"), "_block", "product_id").count().collect()
+        mine = [r for r in sizes if r.product_id == 7]
+        assert max(r["count"] for r in mine) <= 280 and len({r.task for r in mine}) >= 8
+        plain = forecast.add_features(daily).withColumn("task", F.spark_partition_id()).collect()
+        assert len({r.task for r in plain if r.product_id == 7}) == 1
+
+
+def test_stored_sales_choose_blocks_by_their_longest_series(spark, daily, monkeypatch):
+    assert "_block" not in final_plan(forecast.features_of_stored(daily))
+    monkeypatch.setattr(forecast, "SERIES_ROWS", 300)
+    features = forecast.features_of_stored(daily)
+    assert "_block" in final_plan(features)
+    assert features.exceptAll(forecast.add_features(daily)).count() == 0
+    assert forecast.features_of_stored(daily.limit(0)).count() == 0
+
+
+def test_a_block_is_no_shorter_than_its_halo(daily):
+    with pytest.raises(ValueError, match="halo"):
+        forecast.add_features(daily, 29)
