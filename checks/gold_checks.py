@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from checks.registry import VIEWS, check, half_up, money, money_ratio, view
 from sluicebox.contracts import serving_table
 from sluicebox.functions import business, dates, numbers
 from sluicebox.operators.keys import with_parent
-from sluicebox.operators.quality import contract_violations
+from sluicebox.operators.quality import contract_report
 from sluicebox.plans import forecast, gold, governed, kpi, serving
 from sluicebox.sources.snapshots import Snapshots
 from sluicebox.sources.storage import Staging, fresh_folder, read_table
@@ -455,22 +457,45 @@ def sink_serving_many(t: Inputs) -> DataFrame:
     raise AssertionError("The broken load was published")
 
 
-@check(
-    "contract_check",
-    "SELECT 'inventory_health' AS table_name, 'unique:product_id' AS rule, COUNT(*) AS violations FROM inventory_m "
-    "UNION ALL SELECT 'inventory_health', 'not_null:product_name', 2 * COUNT(*) FROM inventory_m JOIN products_m "
-    "USING (product_id) WHERE rating = 0",
-)
+def _spoiled(name: str) -> list[dict[str, str]]:
+    """Columns to replace in three copies of a table: required ones by NULL, texts by long ones, the key by NULL."""
+    table = serving_table(name)
+    return [
+        {c: "NULL" for c in table.required if c not in table.key},
+        {c: f"repeat('x', {n + 1})" for c, n in table.max_length.items()},
+        {c: "NULL" for c in table.key},
+    ]
+
+
+def _spoiled_sql(name: str) -> str:
+    columns = serving_table(name).columns
+    parts = [{}, *_spoiled(name)]
+    return " UNION ALL ".join(f"SELECT {', '.join(f'{p.get(c, c)} AS {c}' for c in columns)} FROM {_SERVED[name]}" for p in parts)
+
+
+def _violations_sql(name: str) -> str:
+    table, source = serving_table(name), f"spoiled_{name}"
+    rules = {f"not_null:{c}": f"SELECT COUNT(*) FILTER ({c} IS NULL) FROM {source}" for c in table.required}
+    rules |= {f"max_length:{c}": f"SELECT COUNT(*) FILTER (length({c}) > {n}) FROM {source}" for c, n in table.max_length.items()}
+    key = ", ".join(table.key)
+    rules[f"unique:{key}"] = f"SELECT CAST(SUM(n - 1) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM {source} GROUP BY {key})"
+    return " UNION ALL ".join(f"SELECT '{name}' AS table_name, '{rule}' AS rule, ({sql}) AS violations" for rule, sql in rules.items())
+
+
+for _name in _SERVED:
+    view(f"spoiled_{_name}", _spoiled_sql(_name))
+
+
+@check("contract_check", f"SELECT * FROM ({' UNION ALL '.join(map(_violations_sql, _SERVED))}) WHERE violations > 0")
 def contract_check(t: Inputs) -> DataFrame:
-    """Two warehouses per product break the key; products without a rating lose their name."""
-    silver = t.silver()
-    other = silver["inventory"].withColumn("warehouse_id", F.lit("WH-99"))
-    silver["inventory"] = silver["inventory"].unionByName(other)
-    silver["products"] = silver["products"].withColumn(
-        "product_name", F.when(F.col("rating") > 0, F.col("product_name"))
-    )
-    health = gold.build("inventory_health", silver, as_of=AS_OF)
-    return contract_violations(health, serving_table("inventory_health"))
+    """Every rule of all six tables is broken by copies of their rows."""
+    stage, frames = Staging(t.spark, fresh_folder(t.spark, "contracts")), {}
+    for name, df in gold_tables(t).items():
+        df = stage.store(serving.serving_rows(df, serving_table(name)), name)
+        kinds = dict(df.dtypes)
+        spoiled = [df.selectExpr(*[f"CAST({p[c]} AS {kinds[c]}) AS {c}" if c in p else c for c in df.columns]) for p in _spoiled(name)]
+        frames[name] = reduce(DataFrame.unionByName, [df, *spoiled])
+    return contract_report(frames, stage)
 
 
 @check(

@@ -72,8 +72,8 @@ def served_tables(spark: SparkSession, gold_root: str, serving_root: str, fmt: s
 
 def quality_report(spark: SparkSession, gold_root: str, serving_root: str, quarantine: str, fmt: str) -> DataFrame:
     """(table_name, rule, violations): contract violations of the serving tables, and flags of the rows set aside by Silver."""
-    served = served_tables(spark, gold_root, serving_root, fmt)
-    parts = [quality.contract_violations(df, serving_table(name)) for name, df in served.items()]
+    with staging(spark, "contracts") as stage:
+        parts = [quality.contract_report(served_tables(spark, gold_root, serving_root, fmt), stage)]
     aside = {name: f"{quarantine}/silver/{name}" for name in RAW_SOURCES}
     rejected = {name: read_table(spark, path, fmt) for name, path in aside.items() if path_exists(spark, path)}
     if rejected:

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from sluicebox import contracts
 from sluicebox.functions import business, dates, numbers
-from sluicebox.operators.quality import contract_violations
+from sluicebox.operators.quality import contract_report, contract_violations
 from sluicebox.plans import gold, kpi, serving
-from sluicebox.sources.storage import read_table
+from sluicebox.sources.storage import read_table, staging
 
 DAY = date(2026, 7, 20)
 
@@ -274,3 +274,24 @@ def test_a_failed_overwrite_keeps_the_old_table(spark, folder):
     assert sorted(r.id for r in read_table(spark, path).collect()) == list(range(10))
     assert write_counted(spark.range(3), path, "overwrite")["rows"] == 3
     assert read_table(spark, path).count() == 3 and os.listdir(f"{folder}/gold") == ["table"]
+
+
+def test_contract_report_equals_the_checks_of_each_table(spark, folder):
+    """Nulls, lengths and repeated keys of several tables from one stack; colliding hashes are told apart from repeats."""
+    def frame(name, rows):
+        schema = contracts.serving_table(name).schema
+        loose = type(schema)([type(f)(f.name, f.dataType, True) for f in schema])
+        return spark.createDataFrame(rows, loose)
+
+    frames = {
+        "inventory_health": frame("inventory_health", [(1, "a", 1, 1, "x" * 51, None), (1, "b" * 256, None, 1, "ok", 1.0), (None, None, 1, 1, "ok", None), (None, "c", 1, 1, None, None)] + [(7, "h", 1, 1, "ok", None)] * 50),
+        "daily_sales_summary": frame("daily_sales_summary", [(date(2026, 1, d), 1, 1.0, 1, 1.0, 1) for d in range(1, 20)]),
+        "category_performance": frame("category_performance", []),
+    }
+    expected = sorted(tuple(r) for name, df in frames.items() for r in contract_violations(df, contracts.serving_table(name)).collect())
+    with staging(spark, "report") as stage:
+        assert sorted(tuple(r) for r in contract_report(frames, stage).collect()) == expected
+    assert ("inventory_health", "unique:product_id", 51) in expected and len(expected) == 7
+    fine = {name: df.limit(0) for name, df in frames.items()}
+    with staging(spark, "report") as stage:
+        assert contract_report(fine, stage).collect() == []
