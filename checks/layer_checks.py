@@ -14,7 +14,7 @@ from checks.fixtures import AS_OF, RAW, Inputs
 from checks.registry import VIEWS, check, view
 from checks.silver_checks import KEYS, TYPES
 from sluicebox.contracts import FLAGS, raw_source
-from sluicebox.plans import bronze, gold, silver
+from sluicebox.plans import bronze, changes, gold, silver
 from sluicebox.sources.run_log import RunLog
 from sluicebox.sources.snapshots import Snapshots
 from sluicebox.sources.storage import fresh_folder, read_table
@@ -199,6 +199,19 @@ def sink_silver_overwrite(t: Inputs) -> DataFrame:
     return silver_stack(view.read_all(TYPES), {name: view.read(silver.rejected_name(name)) for name in TYPES})
 
 
+@check("pipe_silver_changes", _silver_stack_sql())
+def pipe_silver_changes(t: Inputs) -> DataFrame:
+    """All seven tables refined from a part of their batches, then brought up to date with the others."""
+    root = fresh_folder(t.spark, "silver")
+    store = Snapshots(t.spark, f"{root}/silver")
+    for part in ("batch_id < '3'", "NOT batch_id < '3'"):
+        for name in RAW:
+            t[name].where(part).write.mode("append").parquet(f"{root}/bronze/{name.removeprefix('raw_')}")
+        changes.refine_changes(t.spark, f"{root}/bronze", store)
+    view = store.current()
+    return silver_stack(view.read_all(TYPES), {name: view.read(silver.rejected_name(name)) for name in TYPES})
+
+
 @check("pipe_gold", stacking.serving_sql(_GOLD))
 def pipe_gold(t: Inputs) -> DataFrame:
     """All five tables, built from refined Silver."""

@@ -263,8 +263,14 @@ def flagged(
     table: str, bronze: DataFrame, parents: Mapping[str, DataFrame] | None = None, attach: AttachParent = join_parent
 ) -> DataFrame:
     """Typed rows with the list of rules each one breaks."""
+    return judged(table, typed(table, bronze), parents, attach)
+
+
+def judged(
+    table: str, rows: DataFrame, parents: Mapping[str, DataFrame] | None = None, attach: AttachParent = join_parent
+) -> DataFrame:
+    """Rows that are typed already, with the list of rules each one breaks."""
     cleaning = CLEANINGS[table]()
-    rows = bronze.withColumns(cleaning.types)
     for link in cleaning.parents:
         rows = attach(rows, (parents or {})[link.table], link)
     helpers = [name for link in cleaning.parents for name in (link.missing, *link.carried().values())]
