@@ -729,18 +729,6 @@ def stored_features(t: Inputs) -> DataFrame:
     return Staging(t.spark, fresh_folder(t.spark, "features")).store(features_of(t), "features")
 
 
-_FORESTS: dict[tuple[str, str, str], object] = {}
-
-
-def forest_of(t: Inputs, part: str):
-    """The forest with the product's own settings on the early days, or on all; grown once per session and folder."""
-    key = (t.spark.sparkContext.applicationId, t.folder, part)
-    if key not in _FORESTS:
-        features = stored_features(t)
-        _FORESTS[key] = forecast.fit(features if part == "all" else forecast.time_split(features)[0])
-    return _FORESTS[key]
-
-
 def in_range(predicted: DataFrame, training: DataFrame, name: str) -> DataFrame:
     """Whether each prediction lies between the smallest and the largest label the forest was trained on."""
     bounds = training.agg(F.min("units_sold").alias("lo"), F.max("units_sold").alias("hi")).first()
@@ -758,31 +746,53 @@ _FORECAST_COLUMNS = "sales_date product_id category_id lag_1 rolling_mean_7 roll
 )
 def ml_train_rf(t: Inputs) -> DataFrame:
     train, test = forecast.time_split(stored_features(t))
-    scored = in_range(forest_of(t, "early").transform(test), train, "prediction")
+    scored = in_range(forecast.fit(train).transform(test), train, "prediction")
     return scored.select(*_SERIES_KEY, "units_sold", "in_range")
 
 
 def predictions_of(t: Inputs) -> DataFrame:
     features = stored_features(t)
-    predicted = forecast.predict(forest_of(t, "all"), features)
+    predicted = forecast.predict(forecast.fit(features), features)
     return in_range(predicted, features, "predicted_units_sold").select(*_FORECAST_COLUMNS)
 
 
 check("ml_predict", f"SELECT {_FORECAST} FROM future_m")(lambda t: forecast.present_predictions(predictions_of(t)))
-check("forecast_for_product", f"SELECT {_FORECAST} FROM future_m WHERE product_id = 7")(
-    lambda t: forecast.forecast_for_product(predictions_of(t), 7)
-)
 
 
-@check("pipe_ml", f"SELECT {_FORECAST} FROM future_m")
+@check("forecast_for_product", f"SELECT {_FORECAST}, (SELECT COUNT(DISTINCT product_id) FROM future_m) AS products FROM future_m WHERE product_id = 7")
+def forecast_for_product(t: Inputs) -> DataFrame:
+    """One product's forecast, beside the number of products that can be chosen."""
+    predicted = Staging(t.spark, fresh_folder(t.spark, "forecast")).store(predictions_of(t), "predictions")
+    products = F.lit(forecast.forecast_products(predicted).count()).cast("bigint")
+    return forecast.forecast_for_product(predicted, 7).withColumn("products", products)
+
+
+_LATE = "sales_date > (SELECT MAX(sales_date) FROM sales_m) - 14"
+
+
+@check(
+    "pipe_ml",
+    f"SELECT {_FORECAST}, (SELECT COUNT(*) FROM features_m WHERE NOT {_LATE}) AS train_rows, (SELECT COUNT(*) FROM features_m WHERE {_LATE}) AS test_rows, "
+    f"(SELECT round(AVG(abs(units_sold - lag_1)), 6) FROM features_m WHERE {_LATE}) AS lag_1_mae, TRUE AS beats_lag_1, TRUE AS beats_mean FROM future_m",
+)
 def pipe_ml(t: Inputs) -> DataFrame:
-    """Train, evaluate, store, load again, predict, save and read the saved forecast."""
+    """Train, evaluate, store, load again, predict, save and read the saved forecast; errors beside those of two plain guesses."""
     features = stored_features(t)
+    model, metrics = forecast.train_and_evaluate(features)
     train, test = forecast.time_split(features)
-    model = forest_of(t, "early")
-    metrics = forecast.evaluate(model.transform(test)).first().asDict()
+    mean = train.agg(F.avg("units_sold")).first()[0]
+    lag = forecast.evaluate(test, "units_sold", "lag_1").first()
+    guess = forecast.evaluate(test.withColumn("mean", F.lit(mean)), "units_sold", "mean").first()
     store = forecast.ModelStore(t.spark, fresh_folder(t.spark, "models"))
     store.save_model(model, metrics)
     store.save_table(forecast.predict(store.load_model(), features), "predictions", fmt="parquet")
     saved = t.spark.read.parquet(f"{store.root}/predictions/{store.latest('predictions')}")
-    return in_range(saved, train, "predicted_units_sold").select(*_FORECAST_COLUMNS)
+    rows = in_range(saved, train, "predicted_units_sold").select(*_FORECAST_COLUMNS)
+    kept = store.metrics()
+    return rows.withColumns({
+        "train_rows": F.lit(kept["train_rows"]).cast("bigint"),
+        "test_rows": F.lit(kept["test_rows"]).cast("bigint"),
+        "lag_1_mae": F.round(F.lit(lag.mae), 6),
+        "beats_lag_1": F.lit(kept["mae"] < lag.mae),
+        "beats_mean": F.lit(kept["mae"] < guess.mae),
+    })
