@@ -796,3 +796,18 @@ def pipe_ml(t: Inputs) -> DataFrame:
         "beats_lag_1": F.lit(kept["mae"] < lag.mae),
         "beats_mean": F.lit(kept["mae"] < guess.mae),
     })
+
+
+@check(
+    "sink_features_csv",
+    "SELECT CAST(sales_date AS VARCHAR) AS sales_date, product_id, category_id, units_sold, round(revenue, 4) AS revenue, lag_1, lag_7 FROM features_m",
+)
+def sink_features_csv(t: Inputs) -> DataFrame:
+    """Features saved as CSV with a header, and read back."""
+    store = forecast.ModelStore(t.spark, fresh_folder(t.spark, "features"))
+    store.save_table(stored_features(t), "features", fmt="csv")
+    saved = t.spark.read.csv(f"{store.root}/features/{store.latest('features')}", header=True)
+    return saved.selectExpr(
+        "sales_date", "CAST(product_id AS BIGINT) AS product_id", "CAST(category_id AS BIGINT) AS category_id", "CAST(units_sold AS DOUBLE) AS units_sold",
+        "round(CAST(revenue AS DOUBLE), 4) AS revenue", "CAST(lag_1 AS DOUBLE) AS lag_1", "CAST(lag_7 AS DOUBLE) AS lag_7",
+    )

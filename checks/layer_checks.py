@@ -228,3 +228,11 @@ def sink_gold_snapshot(t: Inputs) -> DataFrame:
     layer.commit(t.silver())
     gold.build_together(layer.current(), business, as_of=AS_OF)
     return stacking.serving(business.current().read_all(_GOLD))
+
+
+@check("silver_metadata", "SELECT customer_id, TRUE AS stamped FROM customers_m")
+def silver_metadata(t: Inputs) -> DataFrame:
+    """Every row carries the time of its processing, which is that of this query."""
+    rows = silver.with_silver_time(t["customers_m"])
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("silver_processed_timestamp")
+    return rows.select("customer_id", age.between(0, 3600).alias("stamped"))
