@@ -19,8 +19,8 @@ repeated rows get equal results. Only doc_id and text are read, so other columns
 from __future__ import annotations
 
 import re
+import struct
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -32,7 +32,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType
 from sluicebox.llm.common import doc_slices
 
 SPACE = "▁"
-CACHE_SEGMENTS = 100_000
+CACHE_SEGMENTS = 300_000
 CACHE_PAIRS = 250_000
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
@@ -80,16 +80,25 @@ class PieceModel:
         self.segments = _Segments(self)
 
     def encode(self, text: str | None) -> list[int]:
+        return self.encode_packed(text).tolist()
+
+    def encode_packed(self, text: str | None) -> np.ndarray:
+        """The ids of a text, as 32-bit numbers."""
         if not text:
-            return []
+            return np.zeros(0, dtype=np.int32)
         known = self.segments
-        ids = list(chain.from_iterable([known[s] for s in self.cut.findall(self.dummy + text.replace(" ", SPACE))]))
         if len(known) > CACHE_SEGMENTS:
             known.clear()
-        if not self.bytes and self.unknown in ids:
-            ids = [i for at, i in enumerate(ids) if i != self.unknown or not at or ids[at - 1] != self.unknown]
+        ids = np.frombuffer(b"".join([known[s] for s in self.cut.findall(self.dummy + text.replace(" ", SPACE))]), np.int32)
+        if not self.bytes:
+            again = (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)
+            ids = ids[np.concatenate([[True], ~again])]
         return ids
 
+    def gives_back(self, text: str | None, ids: np.ndarray) -> bool:
+        """Whether decoding gives the text back. It does if each segment's ids do; only where one's do not, all are decoded."""
+        return not self.segments.lossy or self.decode(ids.tolist()) == (text or "").replace(SPACE, " ")
+
     def decode(self, ids: list[int]) -> str:
         raw = self.raw
         text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
@@ -213,14 +222,20 @@ class PieceModel:
 
 
 class _Segments(dict):
+    """The ids of segments, packed; ``lossy`` tells whether one was read whose ids do not decode to it."""
+
     def __init__(self, model: PieceModel):
-        self.model = model
+        super().__init__()
+        self.model, self.lossy = model, False
 
-    def __missing__(self, segment: str) -> list[int]:
+    def __missing__(self, segment: str) -> bytes:
         ids = self.model.encode_segment(segment)
+        if b"".join([self.model.raw[i] for i in ids]) != segment.replace(SPACE, " ").encode():
+            self.lossy = True
+        packed = np.array(ids, dtype=np.int32).tobytes() if len(ids) > 8 else struct.pack(f"{len(ids)}i", *ids)
         if len(segment) <= 64:
-            self[segment] = ids
-        return ids
+            self[segment] = packed
+        return packed
 
 
 @lru_cache(maxsize=1)
@@ -244,11 +259,11 @@ def encode(docs: DataFrame, content: bytes) -> DataFrame:
     def run(batches):
         model = _model(content)
         for part, texts in doc_slices(batches):
-            found = [model.encode(text) for text in texts]
+            found = [model.encode_packed(text) for text in texts]
             sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            values = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(offsets[-1]))
-            same = [model.decode(ids) == (text or "").replace(SPACE, " ") for ids, text in zip(found, texts)]
+            values = np.concatenate(found)
+            same = [model.gives_back(text, ids) for text, ids in zip(texts, found)]
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
             yield pa.RecordBatch.from_arrays(
                 [part.column(part.schema.get_field_index("doc_id")), pa.array(sizes), ids, pa.array(same)], schema.names

@@ -12,8 +12,10 @@ columns may have any name.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections import Counter
 from functools import lru_cache
 
@@ -29,11 +31,10 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from sluicebox.llm.common import doc_slices
 
 LIMIT = 2048
-PACK_PAIRS = 1_000_000
+PACK_PAIRS = 2_000_000
 PACK_DOCS = 60_000
+PACK_CHUNKS = 400_000
 BUCKET_BYTES = 12_000_000
-CACHE_CHUNKS = 100_000
-BLANKS = re.compile("[ \t\n\r]+")
 
 
 class PreTokens:
@@ -44,9 +45,9 @@ class PreTokens:
 
         tokenizer = Tokenizer.from_str(content)
         self.normalizer, self.pre_tokenizer, self.model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
-        added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
-        self.chunks = _Chunks(self)
+        added = [token.content.encode() for token in tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        self.plain, self.lower = _plain_pattern(json.loads(content))
         end = "</w>"
         words = (piece[: -len(end)] for piece in tokenizer.get_vocab(with_added_tokens=False) if piece.endswith(end))
         self.single = frozenset(word for word in words if word and self.pieces(word) == 1)
@@ -54,35 +55,66 @@ class PreTokens:
     def pieces(self, pre_token: str) -> int:
         return len(self.model.tokenize(pre_token))
 
-    def cut(self, chunk: str) -> tuple[str, ...]:
-        normal = self.normalizer.normalize_str(chunk) if self.normalizer else chunk
-        return tuple(word for word, _ in self.pre_tokenizer.pre_tokenize_str(normal))
+    def cut(self, chunk: bytes) -> list[str]:
+        text = chunk.decode()
+        if self.plain and text.isascii() and text.isprintable():
+            return self.plain.findall(text.lower() if self.lower else text)
+        normal = self.normalizer.normalize_str(text) if self.normalizer else text
+        return [word for word, _ in self.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def count(self, text: str) -> tuple[int, dict[str, int]]:
-        """How many special tokens a text holds, and its pre-tokens with their frequencies.
+    def segments(self, text: bytes) -> list[bytes]:
+        """What lies between the special tokens of a text."""
+        return self.special.split(text) if self.special else [text]
 
-        No pre-token and no normal form reaches over a blank, so each distinct chunk between blanks is cut once.
-        """
-        segments = self.special.split(text) if self.special else [text]
-        found: dict[str, int] = {}
-        for segment in segments:
-            for chunk, many in Counter(BLANKS.split(segment)).items():
-                for word in self.chunks[chunk]:
-                    found[word] = found.get(word, 0) + many
-        if len(self.chunks) > CACHE_CHUNKS:
-            self.chunks.clear()
-        return len(segments) - 1, found
+
+def _plain_pattern(spec: dict) -> tuple[re.Pattern | None, bool]:
+    """The split pattern as it reads on printable ASCII without blanks, and whether texts are lower-cased before it.
+
+    None where the file has steps that this cannot say; then the library cuts every chunk.
+    """
+
+    def steps(part: dict | None, inner: str) -> list[dict]:
+        return part[inner] if part and part["type"] == "Sequence" else [part] if part else []
+
+    forms = steps(spec.get("normalizer"), "normalizers")
+    cuts = steps(spec.get("pre_tokenizer"), "pretokenizers")
+    neutral = all(
+        form["type"] in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase") or (form["type"] == "Replace" and form["pattern"] == {"Regex": r"\s+"}) for form in forms
+    )
+    if not neutral or [cut["type"] for cut in cuts] != ["Split", "ByteLevel"]:
+        return None, False
+    split, tail = cuts
+    if split["behavior"] != "Removed" or not split["invert"] or "Regex" not in split["pattern"] or tail["use_regex"] or tail["add_prefix_space"]:
+        return None, False
+    pattern = split["pattern"]["Regex"].replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
+    if re.search(r"\\[^s]|\(|\[\[|&&", pattern):
+        return None, False
+    return re.compile(pattern), any(form["type"] == "Lowercase" for form in forms)
 
 
 class _Chunks(dict):
-    def __init__(self, source: PreTokens):
-        self.source = source
+    """Numbers of the chunks between blanks; of each, its one-piece pre-tokens (counted) and its others (numbered).
 
-    def __missing__(self, chunk: str) -> tuple[str, ...]:
-        words = self.source.cut(chunk)
-        if len(chunk) <= 64:
-            self[chunk] = words
-        return words
+    No pre-token and no normal form reaches over a blank, so each distinct chunk is cut once.
+    """
+
+    def __init__(self, source: PreTokens):
+        super().__init__()
+        self.source, self.known = source, array("q")
+        self.words: dict[str, int] = {}
+        self.open, self.begins = array("i"), array("q", [0])
+
+    def __missing__(self, chunk: bytes) -> int:
+        self[chunk] = number = len(self)
+        known, words = 0, self.words
+        for word in self.source.cut(chunk):
+            if word in self.source.single:
+                known += 1
+            else:
+                self.open.append(words.setdefault(word, len(words)))
+        self.known.append(known)
+        self.begins.append(len(self.open))
+        return number
 
 
 @lru_cache(maxsize=1)
@@ -98,51 +130,87 @@ def _packs(docs: DataFrame, content: str, n_buckets: int, schema: StructType) ->
     """Rows of kind 0: a pack's documents with what is known of them. Rows of kind 1: a pack's other pre-tokens of a bucket."""
 
     def run(batches):
-        source, held = _pre_tokens(content), 0
-        ids, sizes, known, posts = [], [], [], {}
-        number = 0
+        source, chunks = _pre_tokens(content), None
+        ids, sizes, special, lengths, numbers, times = [], [], [], [], [], []
+        number = held = 0
 
         def flush():
             nonlocal number
             pack = xxhash.xxh3_64_intdigest(f"{TaskContext.get().partitionId()}:{number}") >> 1
             number += 1
-            buckets: dict[int, list[str]] = {}
-            for token in posts:
-                buckets.setdefault(zlib.crc32(token.encode()) % n_buckets, []).append(token)
-            rows = [(pack % n_buckets, pack, 0, pa.concat_arrays(ids), list(sizes), list(known), 0, None, None)]
-            for bucket, tokens in buckets.items():
-                tokens.sort()
-                pairs = [posts[token] for token in tokens]
-                many = np.fromiter(map(len, pairs), np.uint32, len(pairs))
-                flat = np.fromiter((x for pair in pairs for x in pair), np.uint32, int(many.sum()))
+            known, posts = _postings(chunks, lengths, numbers, times)
+            known += np.array(special, dtype=np.int64)
+            rows = [(pack % n_buckets, pack, 0, pa.concat_arrays(ids), list(sizes), known.tolist(), 0, None, None)]
+            for bucket, tokens, many, doc, time in _by_bucket(list(chunks.words), posts, n_buckets):
                 text = zstandard.ZstdCompressor(level=3).compress("\n".join(tokens).encode())
-                rows.append((bucket, pack, 1, None, None, None, len(tokens), text, _packed([many, flat[0::2].astype(np.uint16), flat[1::2]])))
-            ids.clear(), sizes.clear(), known.clear(), posts.clear()
+                rows.append((bucket, pack, 1, None, None, None, len(tokens), text, _packed([many, doc.astype(np.uint16), time])))
+            for kept in (ids, sizes, special, lengths, numbers, times):
+                kept.clear()
             yield _batch(rows, schema)
 
         for part, texts in doc_slices(batches):
+            chunks = _Chunks(source) if chunks is None else chunks
             ids.append(part.column(part.schema.get_field_index("doc_id")))
             for text in texts:
-                special, found = source.count(text) if text else (0, {})
-                total, at = special, len(sizes)
-                for token, many in found.items():
-                    if token in source.single:
-                        total += many
-                    else:
-                        posts.setdefault(token, []).extend((at, many))
-                        held += 1
-                sizes.append(len(text.encode()) if text else 0)
-                known.append(total)
-            if held > PACK_PAIRS or len(sizes) > PACK_DOCS - 256:
+                raw = text.encode() if text else b""
+                segments = source.segments(raw)
+                found = Counter(segments[0].split())
+                for segment in segments[1:]:
+                    found.update(segment.split())
+                numbers.append(np.fromiter(map(chunks.__getitem__, found), np.int32, len(found)))
+                times.append(np.fromiter(found.values(), np.uint32, len(found)))
+                sizes.append(len(raw))
+                special.append(len(segments) - 1)
+                lengths.append(len(found))
+                held += len(found)
+            if held > PACK_PAIRS or len(sizes) > PACK_DOCS - 256 or len(chunks) > PACK_CHUNKS:
                 yield from flush()
-                held = 0
+                chunks, held = None, 0
         if sizes:
             yield from flush()
-        source.chunks.clear()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _postings(chunks: _Chunks, lengths: list, numbers: list, times: list) -> tuple[np.ndarray, tuple]:
+    """Known pieces per document of a pack, and (word number, document number, frequency) of the other pre-tokens."""
+    n = len(lengths)
+    chunk, many = np.concatenate(numbers), np.concatenate(times)
+    doc = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    known = np.bincount(doc, np.frombuffer(chunks.known, np.int64)[chunk] * many.astype(np.int64), minlength=n) if len(doc) else np.zeros(n)
+    begins = np.frombuffer(chunks.begins, np.int64)
+    some = np.diff(begins)[chunk] > 0
+    chunk, many, doc = chunk[some], many[some], doc[some]
+    size = np.diff(begins)[chunk]
+    at = np.repeat(begins[chunk] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    word = np.frombuffer(chunks.open, np.int32)[at] if len(at) else np.zeros(0, np.int32)
+    return known.astype(np.int64), (word, np.repeat(doc, size), np.repeat(many, size))
+
+
+def _by_bucket(words: list[str], posts: tuple, n_buckets: int):
+    """(bucket, its pre-tokens in order, documents of each, document numbers, frequencies); a document has a pre-token once."""
+    word, doc, times = posts
+    if not len(word):
+        return
+    bucket = np.fromiter((zlib.crc32(w.encode()) % n_buckets for w in words), np.int64, len(words))
+    names = np.empty(len(words), dtype=np.int64)
+    names[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
+    order = np.lexsort((names, bucket))
+    rank = np.empty(len(words), dtype=np.int64)
+    rank[order] = np.arange(len(words))
+    key = rank[word] << 16 | doc  # a pack has under 2 ** 16 documents
+    by_key = np.argsort(key)
+    key, times = key[by_key], times[by_key]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    key, times = key[first], np.add.reduceat(times, first, dtype=np.uint32)
+    many = np.bincount(key >> 16, minlength=len(words)).astype(np.uint32)
+    ends = np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
+    borders = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0, [True]]))
+    for a, b in zip(borders[:-1], borders[1:]):
+        span = slice(ends[a], ends[b])
+        yield int(bucket[order[a]]), [words[k] for k in order[a:b]], many[a:b], key[span] & 0xFFFF, times[span]
+
+
 def _batch(rows: list[tuple], schema: StructType) -> pa.RecordBatch:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -178,10 +246,10 @@ def _counted(packs: DataFrame, content: str, n_buckets: int) -> DataFrame:
                         counts[token] = source.pieces(token)
                     raw = zstandard.ZstdDecompressor().decompress(row[8])
                     many = np.frombuffer(raw, np.uint32, len(tokens))
-                    n = int(many.sum()) // 2
+                    n = int(many.sum())
                     docs = np.frombuffer(raw, np.uint16, n, 4 * len(tokens))
                     times = np.frombuffer(raw, np.uint32, n, 4 * len(tokens) + 2 * n)
-                    pieces = np.repeat(np.fromiter(map(counts.__getitem__, tokens), np.int64, len(tokens)), many // 2)
+                    pieces = np.repeat(np.fromiter(map(counts.__getitem__, tokens), np.int64, len(tokens)), many)
                     sums = np.bincount(docs, pieces * times).astype(np.int64)
                     some = np.flatnonzero(sums)
                     row[6], row[7], row[8] = len(some), None, _packed([some.astype(np.uint16), sums[some]])
