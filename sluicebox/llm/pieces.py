@@ -19,7 +19,7 @@ repeated rows get equal results. Only doc_id and text are read, so other columns
 from __future__ import annotations
 
 import re
-import struct
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -69,7 +69,9 @@ class PieceModel:
             bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else p.replace(SPACE, " ").encode()
             for p, k in zip(self.pieces, kinds)
         ]
-        self.beside: dict[int, bool] = {}
+        self.sizes = [len(piece) for piece in self.pieces]
+        self.beside: list[dict[int, bool]] = [{} for _ in self.pieces]
+        self.pairs = 0
         self.spines: dict[int, tuple[list, list]] = {}
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
@@ -95,34 +97,33 @@ class PieceModel:
             ids = ids[np.concatenate([[True], ~again])]
         return ids
 
-    def gives_back(self, text: str | None, ids: np.ndarray) -> bool:
-        """Whether decoding gives the text back. It does if each segment's ids do; only where one's do not, all are decoded."""
-        return not self.segments.lossy or self.decode(ids.tolist()) == (text or "").replace(SPACE, " ")
-
     def decode(self, ids: list[int]) -> str:
         raw = self.raw
         text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
         return text[1:] if self.dummy and text.startswith(" ") else text
 
     def encode_segment(self, segment: str) -> list[int]:
-        """One pass over a segment: starts and pieces of the best path to each position, then the way back."""
-        starts, pieces = self._best_sums(segment) if self.unigram else self._merged(segment)
+        """One pass over a segment: the last piece of the best path to each position, then the way back."""
+        pieces = self._best_sums(segment) if self.unigram else self._merged(segment)
         ids: list[int] = []
-        end = len(segment)
+        sizes, end = self.sizes, len(segment)
         while end:
-            start, piece = starts[end], pieces[end]
+            piece = pieces[end]
             if piece >= 0:
                 ids.append(piece)
-            elif self.bytes:
-                ids.extend(self.bytes[b] for b in reversed(segment[start:end].encode()))
+                end -= sizes[piece]
+                continue
+            end -= 1
+            if self.bytes:
+                ids.extend(self.bytes[b] for b in reversed(segment[end].encode()))
             else:
                 ids.append(self.unknown)
-            end = start
-        return ids[::-1]
+        ids.reverse()
+        return ids
 
-    def _best_sums(self, segment: str) -> tuple[list[int], list[int]]:
+    def _best_sums(self, segment: str) -> list[int]:
         n = len(segment)
-        starts, pieces, best = list(range(-1, n)), [-1] * (n + 1), [float("-inf")] * (n + 1)
+        pieces, best = [-1] * (n + 1), [float("-inf")] * (n + 1)
         best[0], at = 0.0, 0
         for last, (piece, size) in self.automaton.iter(segment):
             while at < last:  # positions that nothing but an unknown character reaches
@@ -132,29 +133,27 @@ class PieceModel:
             k = last + 1
             score = best[k - size] + self.scores[piece]
             if score > best[k]:
-                best[k], starts[k], pieces[k] = score, k - size, piece
+                best[k], pieces[k] = score, piece
             if size > 1 and best[last] + self.unknown_score > best[k] and segment[last] not in self.ids:
-                best[k], starts[k], pieces[k] = best[last] + self.unknown_score, last, -1
-        return starts, pieces
+                best[k], pieces[k] = best[last] + self.unknown_score, -1
+        return pieces
 
-    def _merged(self, segment: str) -> tuple[list[int], list[int]]:
-        n = len(segment)
-        starts, pieces, reached, beside = list(range(-1, n)), [-1] * (n + 1), 0, self.beside
+    def _merged(self, segment: str) -> list[int]:
+        pieces, reached, beside = [-1] * (len(segment) + 1), 0, self.beside
         for last, (piece, size) in self.automaton.iter(segment):
-            k = last + 1
-            if reached == k:
+            if last < reached:
                 continue
-            start = k - size
-            left = pieces[start]
-            if start and left >= 0:
-                key = left << 32 | piece
-                stays = beside.get(key)
-                if stays is None:
+            left = pieces[last + 1 - size]
+            if left >= 0:
+                try:
+                    stays = beside[left][piece]
+                except KeyError:
                     stays = self._stay(left, piece)
                 if not stays:
                     continue
-            starts[k], pieces[k], reached = start, piece, k
-        return starts, pieces
+            reached = last + 1
+            pieces[reached] = piece
+        return pieces
 
     def _stay(self, left: int, right: int) -> bool:
         """Whether merging the text of two neighbouring pieces gives these two pieces again.
@@ -162,8 +161,10 @@ class PieceModel:
         It does not if, at the moment a piece across the border would be merged, both its halves already stand there and
         neither has been taken up by its own side yet.
         """
-        if len(self.beside) > CACHE_PAIRS:
-            self.beside.clear()
+        if self.pairs > CACHE_PAIRS:
+            for row in self.beside:
+                row.clear()
+            self.pairs = 0
         ends, begins = self._spines(left)[1], self._spines(right)[0]
         if ends is None or begins is None:
             a, b = self.pieces[left], self.pieces[right]
@@ -178,7 +179,8 @@ class PieceModel:
                     score = scores[across]  # at equal scores the merge further left comes first
                     if min(x_made, y_made) > score and score > x_taken and score >= y_taken:
                         stays = False
-        self.beside[left << 32 | right] = stays
+        self.beside[left][right] = stays
+        self.pairs += 1
         return stays
 
     def _spines(self, piece: int) -> tuple[list | None, list | None]:
@@ -222,17 +224,14 @@ class PieceModel:
 
 
 class _Segments(dict):
-    """The ids of segments, packed; ``lossy`` tells whether one was read whose ids do not decode to it."""
+    """The ids of segments, packed."""
 
     def __init__(self, model: PieceModel):
         super().__init__()
-        self.model, self.lossy = model, False
+        self.model = model
 
     def __missing__(self, segment: str) -> bytes:
-        ids = self.model.encode_segment(segment)
-        if b"".join([self.model.raw[i] for i in ids]) != segment.replace(SPACE, " ").encode():
-            self.lossy = True
-        packed = np.array(ids, dtype=np.int32).tobytes() if len(ids) > 8 else struct.pack(f"{len(ids)}i", *ids)
+        packed = array("i", self.model.encode_segment(segment)).tobytes()
         if len(segment) <= 64:
             self[segment] = packed
         return packed
@@ -263,7 +262,7 @@ def encode(docs: DataFrame, content: bytes) -> DataFrame:
             sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             values = np.concatenate(found)
-            same = [model.gives_back(text, ids) for text, ids in zip(texts, found)]
+            same = [model.decode(ids.tolist()) == (text or "").replace(SPACE, " ") for ids, text in zip(found, texts)]
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
             yield pa.RecordBatch.from_arrays(
                 [part.column(part.schema.get_field_index("doc_id")), pa.array(sizes), ids, pa.array(same)], schema.names
