@@ -265,6 +265,7 @@ def stage(docs: DataFrame, items: DataFrame) -> DataFrame:
     n_chars, where there is such a column, follows a changed text.
     """
     blocks = item_blocks(items)
+    row = docs.select(F.struct(*(docs[name] for name in docs.columns)).alias("doc"))  # columns may have any name
     if len(blocks) == 1:
         named = [(name, words_of(text)) for name, text in blocks[0]]
 
@@ -274,7 +275,7 @@ def stage(docs: DataFrame, items: DataFrame) -> DataFrame:
             for texts in batches:
                 yield texts.map(lambda text: None if text is None else _cleaned(text, automaton))
 
-        rows = docs.withColumn("_clean", cleaned("text"))
+        rows = row.withColumn("clean", cleaned("doc.text"))
     else:
         hits = judged(_hits(docs, blocks)).where("n_hit > 0").select(
             F.col("doc_id").alias("_id"), "_hash", "starts", "ends", "contaminated"
@@ -284,11 +285,12 @@ def stage(docs: DataFrame, items: DataFrame) -> DataFrame:
         def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
             return pd.Series([t if s is None else without_spans(t, s, e) for t, s, e in zip(texts, starts, ends)])
 
-        same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_hash"))
-        rows = docs.join(hits, same, "left").withColumn("_clean", F.when(~F.coalesce("contaminated", F.lit(False)), cut("text", "starts", "ends")))
-    kept = rows.where(F.col("text").isNull() | F.col("_clean").isNotNull())
-    columns = {name: F.col(name) for name in docs.columns} | {"text": F.col("_clean")}
+        same = F.col("doc.doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("doc.text").eqNullSafe(F.col("_hash"))
+        clean = F.when(~F.coalesce("contaminated", F.lit(False)), cut("doc.text", "starts", "ends"))
+        rows = row.join(hits, same, "left").withColumn("clean", clean)
+    kept = rows.where(F.col("doc.text").isNull() | F.col("clean").isNotNull())
+    columns = {name: F.col("doc")[name] for name in docs.columns} | {"text": F.col("clean")}
     if "n_chars" in columns:
-        changed = F.col("_clean") != F.col("text")
-        columns["n_chars"] = F.when(changed, F.char_length("_clean")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+        changed = F.col("clean") != F.col("doc.text")
+        columns["n_chars"] = F.when(changed, F.char_length("clean")).otherwise(F.col("doc.n_chars")).cast(docs.schema["n_chars"].dataType)
     return kept.select(*[column.alias(name) for name, column in columns.items()])

@@ -10,8 +10,9 @@ number of parts follows the size band of the set; a set near the upper border al
 2. A set keeps as many of its rarest parts as can differ, plus one. Two linked sets keep a common one. Sets with too many
    parts of their own can have no partner and are gone.
 3. Sets that keep a part are held against the smallest of them, by parity bits and then exactly: first one pair for each set, then
-   the pairs whose components are still apart. Where a part's sets are in different components after that, all pairs
-   across components are held against each other too.
+   the pairs whose components are still apart. Where a part's sets are in different components after that, they meet in
+   cells of a bounded number of sets. Parts of its own always differ, which rules most pairs of a hot passage out before
+   they are made; the rest are held against each other as bit matrices, and only pairs that are close become rows.
 
 So all links matter to the components, while copies are never expanded into pairs. Sets are named by 63-bit hashes of their
 shingles; inside a pair, shingles are compared by 40 bits. The chance that hashes mistake one for another is below one in
@@ -36,9 +37,12 @@ from sluicebox.llm.graph import components
 SHINGLE = 5
 SMALL = 256  # smaller sets have a part for each shingle
 BUCKET_PARTS = 1_000_000
-FLUSH_PARTS = 2_000_000
+FLUSH_PARTS = 600_000
 SLICE_BUCKETS = 8
 BLOCK_SETS = 200
+CELL_SETS = 2_000
+CELL_ROWS = 128
+CELL_PAIRS = 16_384
 MAX_BITS = 8192
 CACHE_WORDS = 300_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -169,6 +173,7 @@ def _packed_parts(docs: DataFrame, n_buckets: int) -> DataFrame:
             if not keys:
                 return
             every = np.concatenate(keys)
+            keys.clear()
             owner = np.repeat(np.arange(len(names)), sizes)
             bucket = ((every >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
             order = np.argsort(bucket, kind="stable")
@@ -281,20 +286,123 @@ def _gathered(batches):
 
 
 def _rarest(units: DataFrame) -> DataFrame:
-    """(key, name, n): of each set, its rarest shared parts, up to the count that can differ, plus one."""
+    """(key, name, n, own): of each set, its rarest shared parts, up to the count that can differ, plus one.
+
+    ``own`` counts the parts that no other set of the band has.
+    """
 
     def run(batches):
         for batch in batches:
-            out_key, out_name, out_n = [], [], []
+            out_key, out_name, out_n, out_own = [], [], [], []
             for name, n, own, keys in zip(*(column.to_pylist() for column in batch.columns)):
                 kept = np.frombuffer(keys, np.uint64)[: may_differ(n) + 1 - own]
                 out_key.append(kept.astype(np.int64))
                 out_name.append(np.full(len(kept), name & ~1, dtype=np.int64))
                 out_n.append(np.full(len(kept), n, dtype=np.int64))
+                # under two bits of a sketch may lie one shingle of each set, under a part per shingle only one set's
+                out_own.append(np.full(len(kept), own if _part_per_shingle(n, name & 1) else -own, dtype=np.int64))
             if out_key:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (out_key, out_name, out_n)], ["key", "name", "n"])
+                columns = [pa.array(np.concatenate(c)) for c in (out_key, out_name, out_n, out_own)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "name", "n", "own"])
+
+    return units.select("name", "n", "own", "keys").mapInArrow(run, "key bigint, name bigint, n bigint, own bigint")
+
+
+def _part_per_shingle(n: int, next_band: int) -> bool:
+    return 4 ** (band_of(n) + next_band + 1) <= SMALL
+
+
+def may_link(n: np.ndarray, own: np.ndarray, m: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether sets that keep one part may be linked, by their sizes and their own parts (negative: parts of XOR sums).
+
+    Own parts of both sets add up where each is one shingle; own sums of both may lie on one place, so the larger count holds.
+    """
+    apart = np.where(own >= 0, own + other, np.maximum(-own, -other))
+    return (4 * n >= 3 * m) & (4 * m >= 3 * n) & (apart <= (n + m) // 7)
+
+
+def _folded(bits: list[bytes], width: int) -> np.ndarray:
+    """Parity sketches as rows of a matrix, folded to ``width`` bytes."""
+    out = np.zeros((len(bits), width), dtype=np.uint8)
+    for at, one in enumerate(bits):
+        out[at] = np.bitwise_xor.reduce(np.frombuffer(one, np.uint8).reshape(-1, width), axis=0)
+    return out
+
+
+def close_in_cell(names: np.ndarray, n: np.ndarray, own: np.ndarray, component: np.ndarray, side: np.ndarray, bits: list[bytes]):
+    """Index pairs of sets of different components and, in a cell of two sides, of different sides, that sizes, own parts and bits allow."""
+    order = np.argsort(n, kind="stable")
+    names, n, own, component, side = names[order], n[order], own[order], component[order], side[order]
+    bits = [bits[k] for k in order]
+    widths = np.array([len(b) for b in bits])
+    matrices: dict[int, np.ndarray] = {}
+    two = side.min() != side.max()
+    for start in range(0, len(names), CELL_ROWS):
+        a = np.arange(start, min(start + CELL_ROWS, len(names)))
+        end = int(np.searchsorted(n, 4 * n[a[-1]] // 3, side="right"))  # partners of at least the same place in the order of sizes
+        b = np.arange(start, end)
+        good = may_link(n[a, None], own[a, None], n[None, b], own[None, b]) & (component[a, None] != component[None, b]) & (a[:, None] < b[None, :])
+        if two:
+            good &= side[a, None] != side[None, b]
+        i, j = np.nonzero(good)
+        i, j = a[i], b[j]
+        narrow = np.minimum(widths[i], widths[j])
+        for width in np.unique(narrow):
+            if width not in matrices:
+                fits = np.flatnonzero(widths >= width)
+                matrices[width] = (np.searchsorted(fits, np.arange(len(bits))), _folded([bits[k] for k in fits], int(width)))
+            place, matrix = matrices[width]
+            some = np.flatnonzero(narrow == width)
+            for at in range(0, len(some), CELL_PAIRS):
+                x, y = i[some[at : at + CELL_PAIRS]], j[some[at : at + CELL_PAIRS]]
+                near = np.bitwise_count(matrix[place[x]] ^ matrix[place[y]]).sum(axis=1, dtype=np.int64) <= (n[x] + n[y]) // 7
+                for left, right in zip(names[x[near]].tolist(), names[y[near]].tolist()):
+                    yield min(left, right), max(left, right)
+
+
+def _across(kept: DataFrame, sets: DataFrame) -> DataFrame:
+    """Close pairs (a, b) of sets of different components that keep one part; ``kept`` has (key, name, n, own, component).
+
+    Of a part's sets, those stay that some other may be linked with by the counts of own parts. They are dealt into blocks by hash;
+    each pair of blocks is a cell, so a task holds two blocks at a time.
+    """
+    spare = F.when(F.col("own") >= 0, 7 * F.col("own") - F.col("n")).otherwise(F.lit(0))
+    rows = kept.withColumn("spare", spare)
+    best = rows.groupBy("key").agg(F.min("spare").alias("best"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    rows = rows.join(best.select("key", "best"), "key").where("spare + best <= 0").select("key", "name", "n", "own", "component")
+    rows = store(rows, "jaccard-mixed")
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    blocks = sizes.select("key", (1 + F.expr(f"(many - 1) div {CELL_SETS}")).alias("blocks"))
+    rows = rows.join(blocks, "key").join(sets.select("name", "bits"), "name")
+    block = F.pmod(F.xxhash64("name"), F.col("blocks"))
+    cells = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1),
+        lambda other: F.struct(F.least("block", other).alias("low"), F.greatest("block", other).alias("high")),
+    )
+    rows = rows.withColumn("block", block).withColumn("cell", F.explode(cells))
+    rows = rows.select("key", "cell.low", "cell.high", "name", "n", "own", "component", (F.col("block") == F.col("cell.low")).cast("bigint").alias("side"), "bits")
+
+    def run(batches):
+        current, held = None, []
+
+        def cell():
+            columns = list(zip(*held))
+            numbers = [np.array(c, dtype=np.int64) for c in columns[:5]]
+            found = sorted(set(close_in_cell(*numbers, list(columns[5]))))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if row[:3] != current:
+                    if held:
+                        yield cell()
+                    current = row[:3]
+                held.append(row[3:])
+        if held:
+            yield cell()
 
-    return units.select("name", "n", "own", "keys").mapInArrow(run, "key bigint, name bigint, n bigint")
+    return rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(run, UNIT).distinct()
 
 
 def _close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -352,7 +460,7 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, sets: DataFrame, total: int) -> DataFrame:
-    """(key, name, n): the parts that sets keep, as far as at least two sets do."""
+    """(key, name, n, own): the parts that sets keep, as far as at least two sets do."""
     n_buckets = 1 + total // BUCKET_PARTS
     units = _shared_parts(_packed_parts(docs, n_buckets), n_buckets)
     known = sets.select(F.col("name").alias("base"), "n", "e0", "e1")
@@ -378,12 +486,12 @@ def find_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     stars = kept.join(least, "key").where("name <> a").select("key", "n", "a", F.col("name").alias("b"))
     tried = links = labels = None
 
-    def round_of(pairs: DataFrame) -> None:
-        """Hold pairs against each other that were not yet; then tell components anew."""
+    def round_of(near: DataFrame) -> None:
+        """Hold close pairs against each other that were not yet; then tell components anew."""
         nonlocal tried, links, labels
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        near = store(_close(pairs, sets), "jaccard-pairs")
+            near = near.join(tried, ["a", "b"], "left_anti")
+        near = store(near, "jaccard-pairs")
         found = store(_verified(docs, sets, near), "jaccard-links")
         tried = near if tried is None else tried.union(near)
         links = found if links is None else links.union(found)
@@ -393,15 +501,10 @@ def find_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         own = labels.select(F.col("node").alias(name), F.col("component").alias(out))
         return rows.join(own, name, "left").withColumn(out, F.coalesce(out, name))
 
-    round_of(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    round_of(_close(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets))
     apart = component_of(component_of(stars.select("a", "b").distinct(), "a", "x"), "b", "y").where("x <> y")
-    round_of(store(apart.select("a", "b"), "jaccard-apart"))
-    labelled = component_of(kept, "name", "component")
-    split = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    mixed_keys = store(labelled.join(split, "key", "left_semi").select("key", "name", "n", "component"), "jaccard-mixed")
-    other = mixed_keys.select("key", F.col("name").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    across = mixed_keys.join(other, "key").where("name < b and component <> other and 4 * n >= 3 * m and 4 * m >= 3 * n")
-    round_of(across.select(F.col("name").alias("a"), "b").distinct())
+    round_of(_close(store(apart.select("a", "b"), "jaccard-apart"), sets))
+    round_of(_across(component_of(kept, "name", "component"), sets))
     return described, labels, sets
 
 
@@ -442,11 +545,12 @@ def stage(docs: DataFrame) -> DataFrame:
     Of rows repeated with id and text, one stays, chosen by a hash of the other columns. Documents without shingles stay.
     """
     verdicts = _verdicts(docs)
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    single = docs.join(verdicts, same, "left_anti")
+    row = docs.select(F.struct(*(docs[name] for name in docs.columns)).alias("doc"), F.xxhash64("text").alias("hash"))  # columns may have any name
+    same = F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    single = row.join(verdicts, same, "left_anti").select("doc.*")
     again = store(verdicts.where("_first").select("_id", "_hash"), "jaccard-again")
     other = [f.name for f in docs.schema if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()]
-    order = F.xxhash64(*(docs[name] for name in other)) if other else F.lit(0)
-    each = Window.partitionBy("_id", "_hash").orderBy("_order")
-    repeated = docs.join(again, same).withColumn("_order", order).withColumn("_nth", F.row_number().over(each)).where("_nth = 1")
-    return single.unionByName(repeated.select(*(docs[name] for name in docs.columns)))
+    order = F.xxhash64(*(F.col("doc")[name] for name in other)) if other else F.lit(0)
+    each = Window.partitionBy("_id", "_hash").orderBy("order")
+    repeated = row.join(again, same).withColumn("order", order).withColumn("nth", F.row_number().over(each)).where("nth = 1")
+    return single.unionByName(repeated.select("doc.*"))

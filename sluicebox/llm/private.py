@@ -258,11 +258,12 @@ def stage(docs: DataFrame) -> DataFrame:
     def mask(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([masked(t, [(s["kind"], s["start"], s["end"]) for s in own]) for t, own in zip(texts, spans)], dtype=object)
 
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_hash"))
-    joined = docs.join(found, same, "left")
-    hit = joined.where(F.col("_spans").isNotNull()).withColumn("text", mask("text", "_spans"))
-    columns = {name: F.col(name) for name in docs.columns}
+    row = docs.select(F.struct(*(docs[name] for name in docs.columns)).alias("doc"), F.xxhash64("text").alias("hash"))  # columns may have any name
+    same = F.col("doc.doc_id").eqNullSafe(F.col("_id")) & F.col("hash").eqNullSafe(F.col("_hash"))
+    joined = row.join(found, same, "left")
+    hit = joined.where(F.col("_spans").isNotNull()).withColumn("masked", mask(F.col("doc.text"), F.col("_spans")))
+    columns = {name: F.col("doc")[name] for name in docs.columns} | {"text": F.col("masked")}
     if "n_chars" in columns:
-        columns["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.char_length("masked").cast(docs.schema["n_chars"].dataType)
     hit = hit.select(*[column.alias(name) for name, column in columns.items()])
-    return joined.where(F.col("_spans").isNull()).select(*docs.columns).unionByName(hit)
+    return joined.where(F.col("_spans").isNull()).select("doc.*").unionByName(hit)

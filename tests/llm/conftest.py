@@ -4,7 +4,7 @@ import pytest
 
 from sluicebox.llm.common import ship_package
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, name string, key string, n_words string, hits string"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, name string, key string, n_words string, hits string, _id string, _hash string, _nth string, _clean string, _order string, _spans string, doc string, hash string"
 
 
 @pytest.fixture(scope="session")
@@ -32,7 +32,7 @@ def awkward_rows():
         (14, "a b c d e"), (15, "A B  C\td e"), (16, "menu | home | about\nA good line of plain words ends here.\nmenu | home | about"),
         (17, "漢字 かな <|endoftext|> it's 12 ▁ tab\x00 😀"), (18, (prose(9) + "\n") * 20), (19, "mail a.b@c.de or +1 (234) 555-6789, 10.0.0.1 4111 1111 1111 1111"),
     ]
-    return [(i, t, "en", "s", None, "clash", "clash", "clash", "clash", "clash") for i, t in texts]
+    return [(i, t, "en", "s", None, *["clash"] * 13) for i, t in texts]
 
 
 @pytest.fixture(scope="session")

@@ -300,7 +300,9 @@ def test_components_of_texts(awkward, documents, empty):
     assert jaccard.query(empty).collect() == []
 
 
-def test_chains_and_hot_passages(ready):
+@pytest.mark.parametrize("cell_sets", [2_000, 7])
+def test_chains_and_hot_passages(ready, cell_sets, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELL_SETS", cell_sets)
     dice = np.random.default_rng(9)
     passage = [f"p{k}" for k in range(50)]
     rows, text = [], [f"w{k}" for k in range(120)]
@@ -315,6 +317,30 @@ def test_chains_and_hot_passages(ready):
     assert sorted(r["doc_id"] for r in jaccard.stage(docs).collect()) == sorted({r[2] for r in plain_components(rows)})
 
 
+def test_hot_passages_make_no_pairs():
+    """3,000 texts share two thirds of their shingles and nothing else; a few among them are near each other."""
+    dice = np.random.default_rng(4)
+    shared = np.arange(100, dtype=np.uint64) * np.uint64(77)
+    own = dice.integers(0, 2**63, (3000, 50)).astype(np.uint64)
+    own[5, :40] = own[2990, :40]
+    own[6, :20] = own[2991, :20]
+    sets = [np.unique(np.concatenate([shared, mine])) for mine in own]
+    n = np.array([len(s) for s in sets])
+    alone = np.full(3000, 50)
+    alone[[5, 2990]], alone[[6, 2991]] = 10, 30
+    names, side = np.arange(3000), np.ones(3000, dtype=int)
+    pairs = list(jaccard.close_in_cell(names, n, alone, names, side, [jaccard.parity_bits(s) for s in sets]))
+    assert (5, 2990) in pairs and len(pairs) < 10
+    without_counts = set(jaccard.close_in_cell(names[:400], n[:400], alone[:400] * 0, names[:400], side[:400], [jaccard.parity_bits(s) for s in sets[:400]]))
+    plain = {
+        (a, b)
+        for b in range(400)
+        for a in range(b)
+        if jaccard.distance(jaccard.parity_bits(sets[a]), jaccard.parity_bits(sets[b])) <= jaccard.differs_at_most(n[a], n[b])
+    }
+    assert without_counts == plain
+
+
 def test_stage_keeps_one_row_of_a_component(awkward, awkward_rows, ready):
     def left(rows, schema="doc_id int, text string, source string"):
         return by_row(tuple(r) for r in jaccard.stage(ready.createDataFrame(rows, schema).repartition(3)).collect())
