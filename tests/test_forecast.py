@@ -2,6 +2,7 @@ import json
 from datetime import date, timedelta
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from sluicebox.plans import forecast
@@ -164,3 +165,18 @@ def test_features_need_no_python_worker(spark):
     plan = forecast.future_features(forecast.add_features(daily(spark, range(9))))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_groups_of_trees_are_one_forest(spark, folder):
+    features = forecast.add_features(daily(spark, [(i * 7) % 5 for i in range(60)]))
+    model = forecast.fit(features, trees=5, max_depth=3, group_trees=2)
+    forests = [stage for stage in model.stages if hasattr(stage, "getNumTrees")]
+    assert [forest.getNumTrees for forest in forests] == [2, 2, 1] and all(forest.getCacheNodeIds() for forest in forests)
+    model.write().overwrite().save(f"{folder}/model")
+    rows = PipelineModel.load(f"{folder}/model").transform(features)
+    assert not [name for name in rows.columns if name.startswith("_prediction")]
+    got = rows.select("features", "prediction").collect()
+    for row in got:
+        parts = [(forest.getNumTrees, forest.predict(row.features)) for forest in forests]
+        assert row.prediction == pytest.approx(sum(n * value for n, value in parts) / 5)
+    assert len({round(row.prediction, 9) for row in got}) > 1
