@@ -13,7 +13,7 @@ from sluicebox.contracts import CORRUPT, RAW_SOURCES, RawSource, raw_source
 from sluicebox.functions.hashing import record_hash
 from sluicebox.sources.csv import read_source_csv, require_sources
 from sluicebox.sources.run_log import RunLog
-from sluicebox.sources.storage import DEFAULT_FORMAT
+from sluicebox.sources.storage import DEFAULT_FORMAT, writer_of
 
 
 @dataclass(frozen=True)
@@ -81,11 +81,11 @@ def load_source(
         if malformed:
             _, bad = split_malformed(rows)
             mode = "append" if log is None else "overwrite"
-            bad.write.format(fmt).mode(mode).save(f"{quarantine_root}/bronze/{table}/{batch_id}")
+            writer_of(bad, fmt).mode(mode).save(f"{quarantine_root}/bronze/{table}/{batch_id}")
         return read, read - malformed, malformed
 
     if log is None:
-        good.write.format(fmt).mode("append").save(f"{bronze_root}/{table}")
+        writer_of(good, fmt).mode("append").save(f"{bronze_root}/{table}")
         return LoadCounts(table, batch_id, *set_aside())
     found = log.append_once("bronze", batch_id, table, good, f"{bronze_root}/{table}", set_aside)
     return LoadCounts(table, batch_id, found["rows_read"], found["rows_written"], found["rows_rejected"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sluicebox import contracts
 from sluicebox.plans import bronze
 from sluicebox.sources.csv import read_source_csv, require_sources
-from sluicebox.sources.storage import read_table
+from sluicebox.sources.storage import Staging, filesystem_path, read_table, write_counted
 
 
 def write(path, text):
@@ -83,3 +83,14 @@ def test_hash_takes_null_as_empty_and_metadata_is_added(spark):
 def test_run_report(spark):
     counts = [bronze.LoadCounts("orders", "b", 5, 3, 2)]
     assert bronze.run_report(spark, counts).collect() == [("orders", 5, 3, 2)]
+
+
+def test_stored_row_hashes_take_little_more_than_their_bytes(spark, folder):
+    rows = spark.range(20_000).selectExpr("id", "md5(CAST(id AS STRING)) AS record_hash")
+    Staging(spark, f"{folder}/stage").store(rows, "rows")
+    assert write_counted(rows, f"{folder}/table", "append") == {"rows": 20_000}
+    for path in (f"{folder}/stage/rows", f"{folder}/table"):
+        stored = spark.read.parquet(path)
+        assert stored.exceptAll(rows).isEmpty() and stored.count() == 20_000
+        fs, target = filesystem_path(spark, path)
+        assert fs.getContentSummary(target).getLength() < 20_000 * 26  # 16 bytes of hash and 8 of id; 40 as text
