@@ -99,6 +99,11 @@ def from_parts(name: str) -> Money:
     return _joined(*(F.col(f"{name}_{part}") for part in ("blocks", "rest", "other")))
 
 
+def times_parts(name: str, factor: Column) -> Money:
+    """The total of three stored part columns that count ``factor`` times."""
+    return _joined(*(F.col(f"{name}_{part}") * factor for part in ("blocks", "rest", "other")))
+
+
 def sum_of_parts(name: str) -> Money:
     return _joined(*resum_parts(name))
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from sluicebox.functions.dates import calendar
-from sluicebox.functions.numbers import sum_of_parts
+from sluicebox.functions.numbers import times_parts
 from sluicebox.operators.keys import with_position
 from sluicebox.operators.series import block_window, over_series
 from sluicebox.plans.gold import product_days
@@ -57,13 +57,23 @@ PREDICTION_COLUMNS = (
 
 
 def daily_product_sales(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """Units and revenue per (day, product, category), from the product-day sums."""
-    categories = products.select("product_id", "category_id")
+    """Units and revenue per (day, product, category), from the product-day sums.
+
+    A product listed twice under one category counts twice, as if joined first. Listings are counted before the join, so the joined
+    rows are the result: summing them again would hold every row of a task in two more hash maps.
+    """
+    categories = products.groupBy("product_id", "category_id").agg(F.count(F.lit(1)).alias("_listed"))
+    times = F.coalesce("_listed", F.lit(1))
     return (
         product_days(orders, items)
         .join(categories, "product_id", "left")
-        .groupBy("sales_date", "product_id", "category_id")
-        .agg(F.sum("units").cast("double").alias("units_sold"), sum_of_parts("net").rounded().alias("revenue"))
+        .select(
+            "sales_date",
+            "product_id",
+            "category_id",
+            (F.col("units") * times).cast("double").alias("units_sold"),
+            times_parts("net", times).rounded().alias("revenue"),
+        )
     )
 
 

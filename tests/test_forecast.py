@@ -180,3 +180,21 @@ def test_groups_of_trees_are_one_forest(spark, folder):
         parts = [(forest.getNumTrees, forest.predict(row.features)) for forest in forests]
         assert row.prediction == pytest.approx(sum(n * value for n, value in parts) / 5)
     assert len({round(row.prediction, 9) for row in got}) > 1
+
+
+def test_daily_sales_are_summed_once(spark):
+    """A product listed twice counts twice; no second grouping holds the rows of a task again."""
+    day = FIRST.isoformat()
+    orders = spark.sql(f"SELECT k AS order_id, 'shipped' AS order_status, DATE '{day}' AS order_date FROM VALUES (1L), (2L) AS t(k)")
+    items = spark.sql(
+        "SELECT * FROM VALUES (1L, 1L, 2L, 5.0D), (2L, 1L, 3L, 2.505D), (2L, 2L, 1L, 1.0D), (2L, 9L, 4L, 8.0D), (2L, NULL, 1L, 3.0D), (1L, 3L, 1L, 2e14D) "
+        "AS t(order_id, product_id, quantity, item_total)"
+    )
+    products = spark.sql("SELECT * FROM VALUES (1L, 7L), (1L, 7L), (1L, 8L), (2L, NULL), (3L, 5L), (3L, 5L), (NULL, 6L) AS t(product_id, category_id)")
+    rows = forecast.daily_product_sales(orders, items.selectExpr("*", "1.0D AS unit_price", "0.0D AS discount"), products)
+    lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert sum("HashAggregate" in line and "sales_date" in line for line in lines) == 2  # before and after one shuffle
+    got = {(r.product_id, r.category_id): (r.units_sold, r.revenue) for r in rows.collect()}
+    assert got == {
+        (1, 7): (10.0, 15.01), (1, 8): (5.0, 7.51), (2, None): (1.0, 1.0), (9, None): (4.0, 8.0), (None, None): (1.0, 3.0), (3, 5): (2.0, 4e14),
+    }
