@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluicebox.contracts import FLAGS, raw_source
 from sluicebox.plans import changes, silver
 from sluicebox.sources.snapshots import Snapshots
+from sluicebox.sources.storage import Staging
 from tests.test_snapshots import RAW
 
 LOADED = "ingestion_timestamp timestamp, batch_id string, record_hash string"
@@ -98,3 +99,14 @@ def test_random_batches_equal_a_full_refine(spark, folder):
         add_batch(spark, f"{folder}/bronze", str(batch), chosen)
         changes.refine_changes(spark, f"{folder}/bronze", store)
     assert_equal_to_full_refine(spark, folder, store, 2)
+
+
+def test_newest_rows_are_stored_only_where_they_are_read_again(spark, folder, monkeypatch):
+    stored, store = [], Staging.store
+    monkeypatch.setattr(Staging, "store", lambda self, df, name: stored.append(name) or store(self, df, name))
+    layer, bronze = Snapshots(spark, f"{folder}/s"), f"{folder}/bronze"
+    add_batch(spark, bronze, "1", RAW)
+    changes.refine_changes(spark, bronze, layer)
+    newest = {name.removesuffix("-newest") for name in stored if name.endswith("-newest")}
+    assert newest == {"categories", "customers", "products", "orders", "payments"}
+    assert_equal_to_full_refine(spark, folder, layer, 1)
