@@ -2,9 +2,22 @@
 
 import glob
 
-from checks import layer_checks
+from checks import gold_checks, layer_checks
 from checks.fixtures import Inputs
-from sluicebox.plans import changes, silver
+from sluicebox.plans import changes, serving, silver
+
+
+def test_served_tables_are_built_once(spark, monkeypatch):
+    seen = []
+    frame = spark.sql("SELECT 1L AS customer_id, 'a' AS customer_name, 0L AS total_orders FROM range(3) GROUP BY 1, 2")
+    monkeypatch.setattr(gold_checks, "gold_tables", lambda t: {"customer_360": frame})
+    monkeypatch.setattr(serving, "replace_serving_table", lambda df, name, target: seen.append(df))
+    monkeypatch.setattr(gold_checks.stacking, "serving", lambda frames: frames)
+    monkeypatch.setattr(gold_checks, "read_table", lambda *a: None)
+    gold_checks.sink_serving_replace(Inputs(spark, ""))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in seen]
+    assert len(plans) == 2 and not any("HashAggregate" in plan for plan in plans)
+    assert seen[1].collect() == frame.collect()
 
 
 def test_bronze_copies_are_written_with_zstd(spark, data, monkeypatch):
