@@ -18,10 +18,11 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicebox.llm.common import map_texts
+from sluicebox.llm.common import SLICE_ROWS, map_texts
 
 WINDOW = 13
 SHARE = 20
@@ -269,12 +270,17 @@ def stage(docs: DataFrame, items: DataFrame) -> DataFrame:
     if len(blocks) == 1:
         named = [(name, words_of(text)) for name, text in blocks[0]]
 
-        @F.pandas_udf("string")
-        def cleaned(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("string")
+        def cleaned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             automaton = ItemAutomaton(named)
             for texts in batches:
-                yield texts.map(lambda text: None if text is None else _cleaned(text, automaton))
+                parts = [pa.array([], pa.string())]
+                for at in range(0, len(texts), SLICE_ROWS):  # only few texts are Python strings at a time
+                    some = texts.slice(at, SLICE_ROWS).to_pylist()
+                    parts.append(pa.array([None if text is None else _cleaned(text, automaton) for text in some], pa.string()))
+                yield pa.concat_arrays(parts)
 
+        cleaned = cleaned.asNondeterministic()  # else Spark runs it twice, in two Python workers a task: for the filter and for the column
         rows = row.withColumn("clean", cleaned("doc.text"))
     else:
         hits = judged(_hits(docs, blocks)).where("n_hit > 0").select(
@@ -285,6 +291,7 @@ def stage(docs: DataFrame, items: DataFrame) -> DataFrame:
         def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
             return pd.Series([t if s is None else without_spans(t, s, e) for t, s, e in zip(texts, starts, ends)])
 
+        cut = cut.asNondeterministic()
         same = F.col("doc.doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("doc.text").eqNullSafe(F.col("_hash"))
         clean = F.when(~F.coalesce("contaminated", F.lit(False)), cut("doc.text", "starts", "ends"))
         rows = row.join(hits, same, "left").withColumn("clean", clean)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicebox.llm.common import fit_labels, held_out, labelled_texts, logistic, map_texts, sigmoid
+from sluicebox.llm.common import SLICE_ROWS, fit_labels, held_out, labelled_texts, logistic, map_texts, sigmoid
 
 FIT_ROWS = 8_000
 MIN_CONTEXTS = 5
@@ -286,10 +286,12 @@ def stage(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that are not predicted toxic, with all their columns."""
     model = fit(docs, labels)
 
-    @F.pandas_udf("double")
-    def toxicity(texts):
-        import pandas as pd
-
-        return pd.Series(model.scores(np.array([model.evidence(t) for t in texts]).reshape(-1, 5)))
+    @F.arrow_udf("double")
+    def toxicity(texts: pa.Array) -> pa.Array:
+        found = [np.zeros(0)]
+        for at in range(0, len(texts), SLICE_ROWS):  # only few texts are Python strings at a time
+            rows = [model.evidence(text) for text in texts.slice(at, SLICE_ROWS).to_pylist()]
+            found.append(model.scores(np.array(rows).reshape(-1, 5)))
+        return pa.array(np.concatenate(found))
 
     return docs.where(toxicity("text") < THRESHOLD)

@@ -217,6 +217,13 @@ def test_hits_without_items_or_documents(awkward, empty, ready):
     assert by_row((r["doc_id"], r["text"]) for r in decontamination.stage(awkward, none).collect()) == by_row(pairs_of(awkward))
 
 
+@pytest.mark.parametrize("block", [decontamination.BLOCK_CHARS, 5])
+def test_stage_cleans_each_text_once(awkward, ready, block, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", block)
+    plan = decontamination.stage(awkward, ready.createDataFrame(ITEMS, "item_id string, text string"))._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("ArrowEvalPython") == 1
+
+
 def test_spans_are_cut_by_words():
     assert decontamination.without_spans("Ab, cd ef. gh!", [1], [3]) == "Ab, . gh!"
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 from sluicebox.llm import language, quality, toxicity
 from tests.llm.conftest import by_row
@@ -76,6 +77,15 @@ def test_stage_keeps_columns_and_clean_documents(ready):
     assert kept.count() == docs.where("doc_id % 5 <> 0").count()
 
 
+def test_stage_reads_arrow_in_slices(ready):
+    docs, labels = corpus(ready)
+    many = docs.unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string"))).coalesce(1)
+    kept = toxicity.stage(many, labels)
+    assert "pythonUDF0#" in (plan := kept._jdf.queryExecution().executedPlan().toString())
+    assert f"], {PythonEvalType.SQL_SCALAR_ARROW_UDF}" in plan  # not a batch of 10,000 texts as pandas strings
+    assert kept.count() == docs.where("doc_id % 5 <> 0").count() + 1
+
+
 def plain_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
