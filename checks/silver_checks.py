@@ -363,8 +363,7 @@ def dq_payment_mismatch(t: Inputs) -> DataFrame:
     ),
 )
 def dq_report(t: Inputs) -> DataFrame:
-    cleaned = silver.clean_all(t.raw_tables(), _keep(t))
-    return flag_report({table: part.rejected for table, part in cleaned.items()})
+    return flag_report(silver.rejected_flags(t.raw_tables(), _keep(t)))
 
 
 # ---- keys -------------------------------------------------------------------------------------------------

@@ -17,10 +17,14 @@ from sluicebox.sources.storage import Staging
 
 @dataclass(frozen=True)
 class Rule:
-    """A flag and the SQL predicate of the rows it marks. A NULL predicate does not mark."""
+    """A flag and the SQL predicate of the rows it marks. A NULL predicate does not mark.
+
+    ``of_parent``: the predicate reads what a join with a parent has added.
+    """
 
     flag: str
     broken: str | Column
+    of_parent: bool = False
 
     def raised(self) -> Column:
         """The flag in an array, or an empty array."""

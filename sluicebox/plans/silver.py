@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluicebox.contracts import (
     AMOUNT_TOLERANCE,
+    FLAGS,
     ORDER_STATUSES,
     PAYMENT_STATUSES,
     SETTLED_PAYMENTS,
@@ -20,7 +21,7 @@ from sluicebox.functions.dates import to_date, to_timestamp
 from sluicebox.functions.numbers import to_double, to_long
 from sluicebox.functions.text import is_blank, lowered, or_unknown, snake_code, tidy_name, trimmed, uppered
 from sluicebox.operators.keys import latest_per_key, newest_order, orphan_keys, with_orphans, with_parent
-from sluicebox.operators.quality import Rule, has_flags, split_by_flags, with_flags
+from sluicebox.operators.quality import Rule, collect_flags, has_flags, split_by_flags, with_flags
 from sluicebox.plans.bronze import LoadCounts
 from sluicebox.sources.snapshots import Snapshots
 from sluicebox.sources.storage import DEFAULT_FORMAT, read_table, staging, write_counted
@@ -39,7 +40,7 @@ class Parent:
         return f"_no_{self.table}"
 
     def rule(self, flag: str) -> Rule:
-        return Rule(flag, self.missing)
+        return Rule(flag, self.missing, of_parent=True)
 
     def carried(self) -> dict[str, str]:
         return {name: f"_{self.table}_{name}" for name in self.carry}
@@ -182,7 +183,7 @@ def amount_mismatch(amount: str, expected: str) -> Rule:
     """A settled payment that differs from its order's total by more than the tolerance."""
     settled = F.col("payment_status").isin(*SETTLED_PAYMENTS)
     differs = F.abs(F.col(amount) - F.col(expected)) > AMOUNT_TOLERANCE
-    return Rule("payment_amount_mismatch", settled & F.col(expected).isNotNull() & differs)
+    return Rule("payment_amount_mismatch", settled & F.col(expected).isNotNull() & differs, of_parent=True)
 
 
 def _payments() -> Cleaning:
@@ -318,6 +319,32 @@ def clean_all(bronze: Mapping[str, DataFrame], keep: Keep | None = None) -> dict
     return done
 
 
+def rejected_flags(bronze: Mapping[str, DataFrame], keep: Keep) -> dict[str, DataFrame]:
+    """The flags of all rejected rows of the given tables, nothing else of them.
+
+    Rules that need no parent are settled before the joins, so these move keys and what the other rules read. Of cleaned parents
+    only the columns that children read are made, and stored by ``keep``; a table without children is not stored at all.
+    """
+    found: dict[str, DataFrame] = {}
+    parents: dict[str, DataFrame] = {}
+    for table in CLEANINGS:
+        if table not in bronze:
+            continue
+        cleaning = CLEANINGS[table]()
+        rows = typed(table, bronze[table]).withColumn("_own", collect_flags([rule for rule in cleaning.rules if not rule.of_parent]))
+        for link in cleaning.parents:
+            rows = join_cleaned_parent(rows, parents[link.table], link)
+        rows = rows.withColumn(FLAGS, F.concat("_own", collect_flags([rule for rule in cleaning.rules if rule.of_parent])))
+        valid, rejected = split_by_flags(rows)
+        found[table] = rejected.select(FLAGS)
+        links = [link for child in bronze for link in CLEANINGS[child]().parents if link.table == table]
+        read = list(dict.fromkeys(name for link in links for name in (link.key, *link.carry)))
+        if read:
+            bare = set(read) == set(cleaning.key)
+            parents[table] = keep(valid.select(*read).distinct() if bare else newest_valid(table, valid).select(*read), f"{table}-keys")
+    return found
+
+
 def with_dependencies(tables: Iterable[str] | None) -> list[str]:
     """The chosen tables and all they depend on, parents first."""
     needed: set[str] = set()

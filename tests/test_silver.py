@@ -3,11 +3,12 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks.fixtures import Inputs
 from sluicebox.contracts import FLAGS
 from sluicebox.functions import numbers, text
 from sluicebox.operators import keys, quality
 from sluicebox.plans import silver
-from sluicebox.sources.storage import read_table
+from sluicebox.sources.storage import Staging, read_table
 
 CUSTOMER = (
     "customer_id string, customer_name string, email string, phone string, city string, state string, country string, "
@@ -237,3 +238,27 @@ def test_flag_report_and_empty_rules(spark):
     report = {(r.table_name, r.flag): r.rejected_rows for r in quality.flag_report({"t": rows}).collect()}
     assert report == {("t", "low"): 1, ("t", "absent"): 1}
     assert one(quality.with_flags(spark.range(1), []))[FLAGS] == []
+
+
+def test_rejected_flags_store_parent_keys_only(spark, data, folder):
+    raw, stored = Inputs(spark, data).raw_tables(), {}
+
+    def keep(df, name):
+        df.write.parquet(f"{folder}/{name}")
+        stored[name] = spark.read.parquet(f"{folder}/{name}")
+        return stored[name]
+
+    def tally(rejected):
+        return sorted(tuple(r) for r in quality.flag_report(rejected).collect())
+
+    found = silver.rejected_flags(raw, keep)
+    cleaned = silver.clean_all(raw, Staging(spark, f"{folder}/all").store)
+    assert tally(found) == tally({table: part.rejected for table, part in cleaned.items()})
+    assert {name: df.columns for name, df in stored.items()} == {
+        "categories-keys": ["category_id"], "customers-keys": ["customer_id"],
+        "products-keys": ["product_id"], "orders-keys": ["order_id", "order_total"],
+    }
+    for table, part in cleaned.items():
+        if f"{table}-keys" in stored:
+            keys = stored[f"{table}-keys"]
+            assert sorted(map(tuple, keys.collect())) == sorted(map(tuple, part.valid.select(*keys.columns).collect()))
