@@ -60,7 +60,7 @@ def load_source(
     fmt: str = DEFAULT_FORMAT,
     log: RunLog | None = None,
 ) -> LoadCounts:
-    """Append one source. Counts come from the write itself; the file is parsed again only if lines failed.
+    """Append one source. Counts come from the write itself; only files with lines that failed are parsed again.
 
     With a ``log`` (file formats only) a batch is loaded once, however often it is run, and its counts are kept.
     """
@@ -68,18 +68,22 @@ def load_source(
         raise ValueError(f"A run log moves finished files, which format {fmt!r} does not allow")
     source = raw_source(table)
     path = f"{raw_root}/{source.file_name}"
-    rows = with_load_metadata(read_source_csv(spark, source, path), source, path, batch_id)
+    parsed = read_source_csv(spark, source, path).withColumn("_file", F.col("_metadata.file_path"))
+    rows = with_load_metadata(parsed, source, path, batch_id)
 
     seen = Observation(f"bronze-{uuid.uuid4()}")
     counted = rows.observe(
-        seen, F.count(F.lit(1)).alias("read"), F.count_if(is_malformed()).alias("malformed")
+        seen,
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(is_malformed()).alias("malformed"),
+        F.collect_set(F.when(is_malformed(), F.col("_file"))).alias("files"),  # at most the files that the driver has listed
     )
-    good, _ = split_malformed(counted)
+    good, _ = split_malformed(counted.drop("_file"))
 
     def set_aside() -> tuple[int, int, int]:
         read, malformed = int(seen.get["read"]), int(seen.get["malformed"])
         if malformed:
-            _, bad = split_malformed(rows)
+            _, bad = split_malformed(rows.where(F.col("_file").isin(list(seen.get["files"]))).drop("_file"))
             mode = "append" if log is None else "overwrite"
             writer_of(bad, fmt).mode(mode).save(f"{quarantine_root}/bronze/{table}/{batch_id}")
         return read, read - malformed, malformed

@@ -94,3 +94,24 @@ def test_stored_row_hashes_take_little_more_than_their_bytes(spark, folder):
         assert stored.exceptAll(rows).isEmpty() and stored.count() == 20_000
         fs, target = filesystem_path(spark, path)
         assert fs.getContentSummary(target).getLength() < 20_000 * 26  # 16 bytes of hash and 8 of id; 40 as text
+
+
+def test_only_files_with_malformed_lines_are_parsed_again(spark, folder, monkeypatch):
+    path = f"{folder}/categories.csv"
+    os.makedirs(path)
+    write(f"{path}/good.csv", "category_id,category_name,department\n7,a,b\n")
+    write(f"{path}/bad [1] 100%25 é.csv", MIXED)
+    plain, calls = bronze.writer_of, []
+
+    def writer_of(df, fmt):
+        calls.append(fmt)
+        if len(calls) == 2:
+            os.remove(f"{path}/good.csv")
+        return plain(df, fmt)
+
+    monkeypatch.setattr(bronze, "writer_of", writer_of)
+    (counts,) = bronze.load_sources(spark, folder, f"{folder}/bronze", f"{folder}/quarantine", ["categories"], "a")
+    assert (counts.read, counts.written, counts.rejected) == (6, 3, 3)
+    kept = read_table(spark, f"{folder}/quarantine/bronze/categories/a")
+    assert kept.count() == 3 and "_file" not in kept.columns
+    assert "_file" not in read_table(spark, f"{folder}/bronze/categories").columns
