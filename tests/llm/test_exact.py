@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from sluicebox.llm import decontamination, graph, jaccard, pieces, private, repeats, rules, tokens
 from tests.llm.conftest import by_row
@@ -348,6 +349,40 @@ def test_hot_passages_make_no_pairs():
     assert without_counts == plain
 
 
+@pytest.mark.parametrize("exact_sets", [jaccard.EXACT_SETS, 7])
+def test_close_sets_of_one_part_make_a_forest(ready, exact_sets, monkeypatch):
+    """Texts with two changed words of 60: many pairs are linked, others only close by bits; forests become rows, not pairs."""
+    monkeypatch.setattr(jaccard, "EXACT_SETS", exact_sets)
+    dice = np.random.default_rng(11)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        at = dice.integers(10, 45)
+        words[at] = words[at + dice.integers(0, 6)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    docs = ready.createDataFrame(rows, "doc_id bigint, text string").cache()
+    described = jaccard.describe(docs)
+    sets = described.groupBy("name").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits")
+    ).cache()
+    kept = sets.select(F.lit(1).cast("bigint").alias("key"), "name", "n", F.lit(0).cast("bigint").alias("own"), F.col("name").alias("component")).cache()
+    shingles = {jaccard.set_name(found): found for found in map(jaccard.Shingler(), dict(rows).values())}
+    names = sorted(shingles)
+    linked = [(a, b) for k, a in enumerate(names) for b in names[k + 1 :] if jaccard.linked(shingles[a], shingles[b])]
+    forest = jaccard._close_forest(kept, sets).collect()
+    assert 0 < len(forest) < len(names) < len(linked)
+
+    def groups(pairs):
+        trees = jaccard.Forest()
+        for a, b in pairs:
+            trees.join(a, b)
+        return {name: trees.root(name) for name in names}
+
+    links = [tuple(r) for r in jaccard._across(docs, kept, sets).collect()]
+    assert set(links) <= set(linked) and groups(links) == groups(linked)
+
+
 def test_stage_keeps_one_row_of_a_component(awkward, awkward_rows, ready):
     def left(rows, schema="doc_id int, text string, source string"):
         return by_row(tuple(r) for r in jaccard.stage(ready.createDataFrame(rows, schema).repartition(3)).collect())
