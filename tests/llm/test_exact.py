@@ -383,6 +383,59 @@ def test_close_sets_of_one_part_make_a_forest(ready, exact_sets, monkeypatch):
     assert set(links) <= set(linked) and groups(links) == groups(linked)
 
 
+def rows_exchanged(df, column):
+    """Rows of the executed plan that shuffles with this column moved."""
+    plans, total = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        kind, children = plan.getClass().getSimpleName(), plan.children()
+        plans += [children.apply(k) for k in range(children.size())]
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif kind == "ShuffleExchangeExec" and f"{column}#" in plan.output().toString():
+            total += plan.metrics().apply("shuffleRecordsWritten").value()
+    return total
+
+
+def test_only_texts_in_question_are_shuffled(ready):
+    """Of 1,000 texts, two near ones and one without an id are compared; joins of large tables do not move the others."""
+    near = [f"w{k}" for k in range(80)]
+    rows = [(i, " ".join(f"d{i}_{k}" for k in range(20))) for i in range(1000)]
+    rows += [(1000, " ".join(near)), (1001, " ".join([*near[:79], "x"])), (None, " ".join(["y", *near[1:]]))]
+    docs = ready.createDataFrame(rows, "doc_id int, text string")
+    described = jaccard.describe(docs)
+    sets = described.groupBy("name").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.min("n").alias("n")).cache()
+    a, b, c = (jaccard.set_name(jaccard.Shingler()(t)) for _, t in rows[1000:])
+    pairs = ready.createDataFrame([(a, b), (a, c)], "a bigint, b bigint")
+    least = ready.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    ready.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = jaccard._verified(docs, sets, pairs)
+        assert by_row(links.collect()) == by_row([(a, b), (a, c)])
+        assert 3 <= rows_exchanged(links, "text") <= 200
+    finally:
+        ready.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+
+
+@pytest.mark.parametrize("sort_parts", [600_000, 1, 100])
+def test_shared_parts_of_large_buckets(ready, sort_parts, monkeypatch):
+    """Buckets are sorted in shares; copies in other tasks are one set."""
+    monkeypatch.setattr(jaccard, "SORT_PARTS", sort_parts)
+    texts = [" ".join(f"{'w' if k < 40 else f't{i % 7}_'}{k}" for k in range(60)) for i in range(14)] + [" ".join(f"z{k}" for k in range(30))]
+    docs = ready.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    sets = {jaccard.set_name(s): s for s in map(jaccard.Shingler(), texts)}
+    found = {r["name"]: r for r in jaccard._shared_parts(jaccard._packed_parts(docs, 2), 2).collect()}
+    parts = {name + k: jaccard.parts(s, band) for name, s in sets.items() for k, band in enumerate(jaccard.bands(len(s)))}
+    counts = collections.Counter(int(p) for own in parts.values() for p in own)
+    expected = {name: sum(counts[int(p)] > 1 for p in own) for name, own in parts.items()}
+    assert {name: r["n_shared"] for name, r in found.items()} == {name: n for name, n in expected.items() if n}
+    for name, row in found.items():
+        keys = [int(k) for k in np.frombuffer(row["keys"], np.uint64)]
+        assert sorted(keys) == sorted(((int(p) >> 32) * 2 >> 32 << 32) | (int(p) & 0xFFFFFFFF) for p in parts[name] if counts[int(p)] > 1)
+
+
 def test_stage_keeps_one_row_of_a_component(awkward, awkward_rows, ready):
     def left(rows, schema="doc_id int, text string, source string"):
         return by_row(tuple(r) for r in jaccard.stage(ready.createDataFrame(rows, schema).repartition(3)).collect())
