@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from checks import layer_checks
 from sluicebox import contracts
 from sluicebox.plans import bronze
 from sluicebox.sources.csv import read_source_csv, require_sources
@@ -115,3 +116,19 @@ def test_only_files_with_malformed_lines_are_parsed_again(spark, folder, monkeyp
     kept = read_table(spark, f"{folder}/quarantine/bronze/categories/a")
     assert kept.count() == 3 and "_file" not in kept.columns
     assert "_file" not in read_table(spark, f"{folder}/bronze/categories").columns
+
+
+def test_raw_files_of_the_checks_are_small_and_whole(spark, tmp_path, monkeypatch):
+    """Raw files are written under gzip, a bounded number of rows each, and read back as they were."""
+    monkeypatch.setattr(layer_checks, "CSV_ROWS", 300)
+    source = contracts.raw_source("categories")
+    texts = [None, " x ", 'a "b", c', "plain", "  two   words  "]
+    rows = [(str(i), texts[i % 5], f"general store {i % 3}") for i in range(1000)]
+    df = spark.createDataFrame(rows, list(source.columns)).coalesce(1)
+    layer_checks._write_csv(df, str(tmp_path / "raw.csv"))
+    layer_checks._write_csv(df.limit(10), str(tmp_path / "raw.csv"))
+    files = list((tmp_path / "raw.csv").glob("part-*"))
+    assert len(files) >= 5 and all(f.name.endswith(".csv.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < sum(len(",".join(map(str, r))) for r in rows) / 2
+    back = [tuple(r) for r in read_source_csv(spark, source, str(tmp_path / "raw.csv")).select(*source.columns).collect()]
+    assert sorted(back, key=str) == sorted(rows + rows[:10], key=str)
