@@ -436,6 +436,12 @@ def test_shared_parts_of_large_buckets(ready, sort_parts, monkeypatch):
         assert sorted(keys) == sorted(((int(p) >> 32) * 2 >> 32 << 32) | (int(p) & 0xFFFFFFFF) for p in parts[name] if counts[int(p)] > 1)
 
 
+@pytest.mark.parametrize("n", [1, 5, 48, 63, 64, 100, 255, 256, 800, 5000, 70_000])
+def test_parts_are_counted_without_their_hashes(n):
+    shingles = np.unique(np.random.default_rng(n).integers(0, 2**64, n, dtype=np.uint64))
+    assert all(jaccard.count_parts(shingles, band) == len(jaccard.parts(shingles, band)) for band in jaccard.bands(n))
+
+
 def test_stage_keeps_one_row_of_a_component(awkward, awkward_rows, ready):
     def left(rows, schema="doc_id int, text string, source string"):
         return by_row(tuple(r) for r in jaccard.stage(ready.createDataFrame(rows, schema).repartition(3)).collect())
