@@ -182,6 +182,24 @@ def test_groups_of_trees_are_one_forest(spark, folder):
     assert len({round(row.prediction, 9) for row in got}) > 1
 
 
+def test_groups_of_trees_read_rows_stored_once_in_order(spark, monkeypatch):
+    history = daily(spark, [(i * 7) % 5 for i in range(60)]).withColumn("revenue", (F.dayofyear("sales_date") * 37 % 60).cast("double"))
+    seen, grown = [], forecast._grown
+
+    def look(rows, *rest):
+        files = {}
+        for row in rows.select("features", F.input_file_name().alias("file")).collect():
+            files.setdefault(row.file, []).append(round(row.features[-1], 9))
+        seen.append(files)
+        return grown(rows, *rest)
+
+    monkeypatch.setattr(forecast, "_grown", look)
+    forecast.fit(forecast.add_features(history), trees=4, max_depth=2, group_trees=2)
+    first, second = seen
+    assert first == second and "" not in first
+    assert sum(map(len, first.values())) == 60 and all(values == sorted(values) for values in first.values())
+
+
 def test_daily_sales_are_summed_once(spark):
     """A product listed twice counts twice; no second grouping holds the rows of a task again."""
     day = FIRST.isoformat()
