@@ -30,6 +30,9 @@ from sluicebox.functions.numbers import (
 from sluicebox.sources.snapshots import Snapshots, View
 from sluicebox.sources.storage import DEFAULT_FORMAT, Staging, read_tables, staging, write_counted
 
+# Products that a join may send through the driver to every executor: some 80 bytes each there, which a small compressed file hides.
+BROADCAST_PRODUCTS = 1_000_000
+
 SILVER_INPUTS = ("categories", "customers", "products", "orders", "order_items", "inventory")
 
 
@@ -130,8 +133,13 @@ def product_categories(products: DataFrame, categories: DataFrame) -> DataFrame:
     return products.select("product_id", "category_id").join(names, "category_id", "left")
 
 
+def _looked_up(products: DataFrame, many: bool) -> DataFrame:
+    """Products as the side of a join that is looked up: many are never broadcast, whatever their files' size promises."""
+    return products.hint("merge") if many else products
+
+
 def category_performance(
-    orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame
+    orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame, many_products: bool = False
 ) -> DataFrame:
     """Per category: orders, units, revenue, revenue per order.
 
@@ -142,7 +150,7 @@ def category_performance(
     kept = revenue_orders(orders).select("order_id")
     per_order = (
         items.select("order_id", "product_id", "quantity", "item_total")
-        .join(products.select("product_id", "category_id"), "product_id", "left")
+        .join(_looked_up(products.select("product_id", "category_id"), many_products), "product_id", "left")
         .join(kept, "order_id")
         .groupBy("order_id", "category_id")
         .agg(F.sum("quantity").alias("units"), *sum_parts(money("item_total"), "net"))
@@ -218,12 +226,12 @@ def demand_velocity(days: DataFrame, as_of: date | str | None = None) -> DataFra
 
 
 def inventory_health(
-    inventory: DataFrame, products: DataFrame, days: DataFrame, as_of: date | str | None = None
+    inventory: DataFrame, products: DataFrame, days: DataFrame, as_of: date | str | None = None, many_products: bool = False
 ) -> DataFrame:
     """Stock status and days of stock left at the recent pace; NULL without recent sales."""
     cover = safe_ratio(F.col("stock_quantity") * F.col("recent_days"), F.col("recent_units"), 1)
     return (
-        inventory.join(products.select("product_id", "product_name"), "product_id", "left")
+        inventory.join(_looked_up(products.select("product_id", "product_name"), many_products), "product_id", "left")
         .join(demand_velocity(days, as_of), "product_id", "left")
         .select(
             "product_id",
@@ -259,13 +267,14 @@ def build(
     days: DataFrame | None = None,
     as_of: date | str | None = None,
     unique_orders: bool = False,
+    many_products: bool = False,
 ) -> DataFrame:
     """One Gold table from Silver frames. ``days`` may be a stored ``product_days``."""
     s = silver
     if table == "daily_sales_summary":
         return daily_sales_summary(s["orders"], s["order_items"], unique_orders)
     if table == "category_performance":
-        return category_performance(s["orders"], s["order_items"], s["products"], s["categories"])
+        return category_performance(s["orders"], s["order_items"], s["products"], s["categories"], many_products)
     if table == "customer_360":
         return customer_360(s["customers"], s["orders"], as_of, unique_orders)
     if table == "product_performance":
@@ -273,7 +282,7 @@ def build(
         return product_performance(sums, s["products"], s["categories"])
     if table == "inventory_health":
         days = product_days(recent_orders(s["orders"], as_of), s["order_items"]) if days is None else days
-        return inventory_health(s["inventory"], s["products"], days, as_of)
+        return inventory_health(s["inventory"], s["products"], days, as_of, many_products)
     raise ValueError(f"Unknown Gold table {table!r}; known: {', '.join(BATCH_GOLD)}")
 
 
@@ -294,11 +303,12 @@ def _chosen(tables: Iterable[str] | None) -> list[str]:
 def _built(
     stage: Staging, silver: Mapping[str, DataFrame], chosen: list[str], as_of: date | str | None
 ) -> dict[str, DataFrame]:
-    """The chosen tables; the item-order join behind two of them is stored once."""
+    """The chosen tables; the item-order join behind two of them is stored once. Products are counted by their files' footers."""
+    many = bool({"category_performance", "inventory_health"} & set(chosen)) and silver["products"].count() > BROADCAST_PRODUCTS
     days = None
     if {"product_performance", "inventory_health"} <= set(chosen):
         days = stage.store(product_days(silver["orders"], silver["order_items"]), "product-days")
-    return {table: build(table, silver, days, as_of, unique_orders=True) for table in chosen}
+    return {table: build(table, silver, days, as_of, unique_orders=True, many_products=many) for table in chosen}
 
 
 def build_all(

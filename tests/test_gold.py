@@ -230,6 +230,22 @@ def test_gold_pipeline_serving_and_kpis(spark, folder, orders, items, products,
             kpi.dashboard(frames, limit)
 
 
+def test_many_products_are_not_broadcast(spark, folder, monkeypatch, orders, items, products, categories):
+    """However small their files are: what a broadcast takes in the driver follows the rows."""
+    silver = _silver(spark, orders, items, products, categories)
+    for name in silver:
+        silver[name].write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        silver[name] = spark.read.parquet(f"{folder}/{name}")
+    chosen = ["category_performance", "inventory_health"]
+    with staging(spark, "gold") as stage:
+        few = {table: sorted(map(str, df.collect())) for table, df in gold._built(stage, silver, chosen, "2026-07-30").items()}
+        monkeypatch.setattr(gold, "BROADCAST_PRODUCTS", products.count() - 1)
+        for table, df in gold._built(stage, silver, chosen, "2026-07-30").items():
+            joins = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+            assert any("SortMergeJoin [product_id" in line for line in joins)
+            assert sorted(map(str, df.collect())) == few[table] != []
+
+
 def test_overview_of_nothing_is_zero(spark):
     empty = spark.createDataFrame([], contracts.serving_table("daily_sales_summary").schema)
     assert tuple(kpi.overview(empty).first()) == (0.0, 0, 0, 0.0, 0)
