@@ -22,6 +22,8 @@ COUNTED = {
     "add_to_cart_events": "add_to_cart",
     "checkout_events": "checkout_started",
 }
+# What the measures read of an event.
+MEASURED = ("event_timestamp", "customer_id", "event_type", "price", "quantity")
 
 
 def _count_of(event_type: str) -> Column:
@@ -65,6 +67,12 @@ def realtime_metrics(events: DataFrame, window: str = WINDOW, slide: str = SLIDE
     return window_metrics(customer_windows(events, window, slide))
 
 
+def customer_sums(parts: DataFrame) -> DataFrame:
+    """One row per (window, customer) from stored parts of several batches."""
+    counts = [F.sum(name).alias(name) for name in COUNTED]
+    return parts.groupBy("window_start", "window_end", "customer_id").agg(*resum_parts("revenue"), *counts)
+
+
 def stored_window_metrics(parts: DataFrame) -> DataFrame:
     """Metrics per window from stored parts, which hold flat window bounds."""
     return _finish(parts.groupBy("window_start", "window_end").agg(*_window_sums()))

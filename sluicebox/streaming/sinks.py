@@ -1,14 +1,16 @@
 """Stream starters and the upsert behind live metrics.
 
-Live metrics use update mode: open windows are reported at once and corrected later. Each micro-batch brings
-the changed (window, customer) rows. They are appended to a parts table; the windows they touch are summed
+Open windows are reported at once and corrected later. Each micro-batch brings sums per (window, customer) of
+its own events. They are appended to a parts table; the windows they touch are summed
 again and replace their rows in the metrics table, a ``KeyedLog``, so a micro-batch writes as much as it touches,
-however long the history is. Both writes are keyed by batch id, so a repeated micro-batch changes nothing.
+however long the history is. Both writes are keyed by batch id, so a repeated micro-batch changes nothing. The
+parts table is all there is of these sums: a stream state of them would hold each row once more, in memory.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,7 +21,7 @@ from sluicebox.contracts import serving_table
 from sluicebox.operators.keys import latest_per_key
 from sluicebox.sources.storage import DEFAULT_FORMAT, child_names, delete_path
 from sluicebox.streaming.keyed_log import KeyedLog
-from sluicebox.streaming.metrics import customer_windows, realtime_metrics, stored_window_metrics
+from sluicebox.streaming.metrics import MEASURED, customer_sums, customer_windows, realtime_metrics, stored_window_metrics
 
 
 
@@ -64,8 +66,16 @@ class LiveMetrics:
         table = serving_table("realtime_metrics")
         return KeyedLog(self.spark, f"{self.root}/metrics", table.schema, table.key, "to_date(window_start)")
 
+    def add(self, events: DataFrame, batch_id: int) -> None:
+        """Handler for ``foreachBatch`` of new events: what all batches hold of a (window, customer) is added up."""
+        self._put(customer_windows(events), batch_id, customer_sums)
+
     def apply(self, changed: DataFrame, batch_id: int) -> None:
-        """Handler for ``foreachBatch``. Only the days this batch touched are listed and read."""
+        """Handler for ``foreachBatch`` of changed rows of ``customer_windows`` over all events so far: the newest one counts."""
+        self._put(changed, batch_id, lambda parts: latest_per_key(parts, ["window_start", "customer_id"], ["batch"]))
+
+    def _put(self, changed: DataFrame, batch_id: int, one_per_customer: Callable[[DataFrame], DataFrame]) -> None:
+        """Only the days this batch touched are listed and read."""
         flat = changed.withColumns(
             {
                 "window_start": F.col("window.start"),
@@ -92,8 +102,7 @@ class LiveMetrics:
         )
         touched = parts.filter(F.col("batch") == batch_id).select("window_start").distinct()
         affected = parts.join(touched, "window_start", "left_semi")
-        newest = latest_per_key(affected, ["window_start", "customer_id"], ["batch"])
-        self.metrics.upsert(stored_window_metrics(newest), batch_id)
+        self.metrics.upsert(stored_window_metrics(one_per_customer(affected)), batch_id)
         if self.serve is not None:
             self.serve(self.metrics.read())
 
@@ -116,13 +125,9 @@ class LiveMetrics:
 def start_live_metrics(
     events: DataFrame, live: LiveMetrics, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Update-mode metrics: (window, customer) sums in state, upserted per micro-batch."""
-    writer = (
-        customer_windows(events)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(live.apply)
-    )
+    """Live metrics, upserted per micro-batch. Only the steps behind ``events`` keep state; late rows are dropped there."""
+    needed = events.select(*MEASURED)  # the others are not shuffled
+    writer = needed.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(live.add)
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -166,6 +166,28 @@ def test_repeating_a_micro_batch_changes_nothing(spark, folder):
     assert live.read().count() == 5
 
 
+def test_live_metrics_keep_no_state_of_their_own(spark, folder):
+    """Only the event ids are state. Batches of one customer's window add up, also a null customer's, and a repeated one counts once."""
+    live = sinks.LiveMetrics(spark, f"{folder}/live")
+    steps = [
+        [event("1", 0, event_type="purchase_completed"), event("2", 0, customer_id=None)],
+        [event("3", 0, event_type="purchase_completed", quantity=2), event("4", 1, customer_id=None), event("1", 0)],
+    ]
+    for i, step in enumerate(steps):
+        put(f"{folder}/in", f"step{i}", *step)
+        query = sinks.start_live_metrics(ev.metric_events(incoming(spark, f"{folder}/in", 1)), live, f"{folder}/cp", once=True)
+        run(query)
+        assert [operator["operatorName"] for operator in query.lastProgress["stateOperators"]] == ["dedupeWithinWatermark"]
+    put(f"{folder}/all", "a", *steps[0], *steps[1][:2])
+    events = ev.metric_events(spark.read.schema(ev.MESSAGE_SCHEMA).json(f"{folder}/all"))
+    expected = sorted(metrics.realtime_metrics(events).collect())
+    assert sorted(live.read().collect()) == expected and max(r.revenue_per_window for r in expected) == 27.0
+    other = sinks.LiveMetrics(spark, f"{folder}/other")
+    for batch_id, key in ((0, "1"), (1, "2"), (1, "2"), (2, "3"), (3, "4"), (3, "4")):
+        other.add(events.where(F.col("event_id") == key), batch_id)
+    assert sorted(other.read().collect()) == expected
+
+
 KEYED = "k int, day date, v string"
 
 
