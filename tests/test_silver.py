@@ -262,3 +262,61 @@ def test_rejected_flags_store_parent_keys_only(spark, data, folder):
         if f"{table}-keys" in stored:
             keys = stored[f"{table}-keys"]
             assert sorted(map(tuple, keys.collect())) == sorted(map(tuple, part.valid.select(*keys.columns).collect()))
+
+
+def test_many_neighbouring_ids_are_marked_by_bitmaps(spark, folder, monkeypatch):
+    """Also ids below zero, at the edges of bitmaps and at the ends of the range; too sparse sets are joined."""
+    ids = [0, 1, -1, 7, 8, 32767, 32768, 32769, 65536, 65537, -32767, -32768, -32769, 2**63 - 1, -(2**63), 99999999999]
+    child = spark.createDataFrame([(i,) for i in (None, *ids, *[i + 1 for i in ids[:-3]], 2, 9, 10**11)], "k bigint")
+    keep = Staging(spark, folder).store
+    orphans = keep(spark.createDataFrame([(i,) for i in ids], "k bigint"), "ids")
+    expected = sorted((r.k, r.k in ids) for r in child.where("k IS NOT NULL").collect())
+    for few_keys, few_maps, plan in ((100, 100, "Join"), (0, 100, "_bits"), (0, 1, "SortMergeJoin")):
+        monkeypatch.setattr(keys, "BROADCAST_KEYS", few_keys)
+        monkeypatch.setattr(keys, "BROADCAST_BITMAPS", few_maps)
+        marked = keys.with_stored_orphans(child, orphans, "k", "missing", keep, f"ids-{few_keys}-{few_maps}")
+        assert plan in marked._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in marked.where("k IS NOT NULL").collect()) == expected
+        assert [r.missing for r in marked.where("k IS NULL").collect()] == [False]
+
+
+@pytest.mark.parametrize("few_keys, few_maps, ranked", [(100, 100, 5), (0, 100, 5), (0, 0, 7)])
+def test_only_rows_of_repeated_keys_are_ranked(spark, folder, monkeypatch, few_keys, few_maps, ranked):
+    rows = [(1, 1, "a"), (2, 1, "b"), (2, 2, "c"), (None, 1, "d"), (None, 3, "e"), (None, 2, "f"), (40000, 1, "g")]
+    monkeypatch.setattr(keys, "BROADCAST_KEYS", few_keys)
+    monkeypatch.setattr(keys, "BROADCAST_BITMAPS", few_maps)
+    keep, seen, latest = Staging(spark, folder).store, [], keys.latest_per_key
+    stored = keep(spark.createDataFrame(rows, "k bigint, at int, v string"), "rows")
+
+    def look(df, *rest):
+        seen.append(df.count())
+        return latest(df, *rest)
+
+    monkeypatch.setattr(keys, "latest_per_key", look)
+    alone, newest = keys.latest_per_key_of_stored(stored, ["k"], ["at"], keep, "repeated")
+    got = sorted((alone.unionByName(newest)).collect(), key=lambda r: r.v)
+    assert [r.v for r in got] == ["a", "c", "e", "g"] and seen == [ranked]
+    assert [tuple(r) for r in got] == [(1, 1, "a"), (2, 2, "c"), (None, 3, "e"), (40000, 1, "g")]
+    both, none = keys.latest_per_key_of_stored(stored.withColumn("w", F.col("v")), ["k", "w"], ["at"], keep, "repeated-2")
+    assert both.count() == 7 and none.count() == 0
+
+
+def test_whole_rows_are_not_shuffled_by_clean(spark, folder, data):
+    """Parents and newest rows are settled by bare keys: the flagged rows hold no sort-merged join and no window."""
+    t, texts = Inputs(spark, data), {}
+
+    def keep(df, name):
+        texts[name] = df._jdf.queryExecution().executedPlan().toString()
+        return Staging(spark, folder).store(df, name)
+
+    names = ("categories", "products", "customers", "orders", "order_items")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10000")
+    try:
+        cleaned = silver.clean_all({name: t[f"raw_{name}"] for name in names}, keep)
+        plain = silver.clean_all({name: t[f"raw_{name}"] for name in names})
+        for part in ("valid", "rejected"):
+            ours, theirs = (sorted(map(str, getattr(c["order_items"], part).drop("silver_processed_timestamp").collect())) for c in (cleaned, plain))
+            assert ours == theirs != []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in texts["order_items-flagged"]
