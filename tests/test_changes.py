@@ -110,3 +110,24 @@ def test_newest_rows_are_stored_only_where_they_are_read_again(spark, folder, mo
     newest = {name.removesuffix("-newest") for name in stored if name.endswith("-newest")}
     assert newest == {"categories", "customers", "products", "orders", "payments"}
     assert_equal_to_full_refine(spark, folder, layer, 1)
+
+
+def test_only_keys_that_old_rows_have_are_looked_up(spark, folder, monkeypatch):
+    """Fresh rows under new keys open no old row."""
+    keys, plain = [], Staging.store
+
+    def watched(stage, df, name):
+        out = plain(stage, df, name)
+        if name == "categories-keys":
+            keys.append(sorted(r.category_id for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(Staging, "store", watched)
+    store, bronze = Snapshots(spark, f"{folder}/s"), f"{folder}/bronze"
+    add_batch(spark, bronze, "1", RAW)
+    changes.refine_changes(spark, bronze, store)
+    for batch, name in (("2", "light"), ("3", "lamp")):
+        add_batch(spark, bronze, batch, {"categories": [("2", name, "home")]})
+        changes.refine_changes(spark, bronze, store)
+    assert keys == [[], [2]]
+    assert_equal_to_full_refine(spark, folder, store, "end")
